@@ -14,9 +14,9 @@ MINUTE_MASK = (r"(\d{4}-\d{2}-\d{2}_\d{2}-\d{2})", "yyyy-MM-dd_HH-mm")
 
 
 def name_time(mask: tuple[str, str]) -> Column:
-    """Time stated in the name of the file a row comes from; NULL for other names."""
+    """Time stated in the name of the file, or dated folder of part files, a row comes from."""
     pattern, layout = mask
-    text = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
+    text = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
     return F.try_to_timestamp(F.when(text != "", text), F.lit(layout))
 
 
