@@ -61,7 +61,7 @@ PROBE = """
         from probe
         where oper_result = 'REJECT' and r1 = 'REJECT' and r2 = 'REJECT' and r3 = 'SUCCESS'
               and amt > a1 and a1 > a2 and a2 > a3
-              and epoch_us(dt3) - epoch_us(trans_date) <= 3 * 86400 * 1000000)"""
+              and epoch_us(dt3) - epoch_us(trans_date) <= 259200000000)"""
 VIEWS = "bank_clients bank_accounts bank_cards bank_txns"
 
 
