@@ -1,6 +1,14 @@
 """Registered queries over the test tables and their SQL twins."""
 
-from millrace.catalog import bank, commerce, geography, history, taxi, vaults  # noqa: F401
+from millrace.catalog import (  # noqa: F401
+    bank,
+    commerce,
+    geography,
+    history,
+    lake,
+    taxi,
+    vaults,
+)
 from millrace.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -61,21 +61,27 @@ def delimited(
 def load_with_rejects(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Well-formed rows and, apart, the raw text of malformed ones; an empty field is NULL."""
+    """Well-formed rows and, apart, the text of malformed lines; an empty field is NULL.
+
+    Lines are parsed as an expression, so whether one is malformed never depends on the columns asked
+    for. Lines that repeat the column names are headers.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    raw = (
-        spark.read.schema(wide)
-        .option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("nullValue", "")
-        # Whether a line is malformed must not depend on the columns asked for.
-        .option("columnPruning", "false")
-        .csv(path)
-    )
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    rejected = raw.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("rejected_data"), F.col("_metadata.file_name").alias("file_name")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide)
+    options = {
+        "sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "nullValue": "",
+    }
+    text = spark.read.text(path)
+    lines = text.filter(F.trim("value") != "")
+    if header:
+        lines = lines.filter(F.translate("value", '"', "") != sep.join(schema.names))
+    parsed = lines.select(
+        F.from_csv("value", ddl, options).alias("_r"), F.col("value").alias("rejected_data"),
+        F.col("_metadata.file_name").alias("file_name"),
     )
-    return good, rejected
+    broken = F.col(f"_r.{CORRUPT}").isNotNull()
+    good = parsed.filter(~broken).select(*[F.col(f"_r.{n}") for n in schema.names])
+    return good, parsed.filter(broken).select("rejected_data", "file_name")
 
 
 # One waybill per document: attributes on the root, licence and period nested.
