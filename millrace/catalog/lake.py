@@ -9,7 +9,7 @@ from millrace.catalog.base import query
 from millrace.operators.quality import Rules, data_quality
 from millrace.plans import restaurants
 from millrace.functions.values import decimal_comma
-from millrace.session import scratch_path
+from millrace.session import materialize, scratch_path
 from millrace.sources import documents, files, scans, sinks
 
 TS = "timestamp_ntz"
@@ -96,7 +96,7 @@ def json_documents(v, spark):
                case when o_orderstatus = 'F' then 'CLOSED' else 'CANCELLED' end as order_status,
                cast(o_custkey % 7 as string) as restaurant_id,
                cast(o_custkey as string) as user_id, c_custkey
-        from orders left join (select * from customer where c_acctbal > -998) c
+        from orders left join (select * from customer where c_acctbal > -990) c
              on c_custkey = o_custkey),
     bad as (select min(id) as b from r where c_custkey is null)
     select id, order_key, r.ts, order_status, restaurant_id, user_id,
@@ -107,7 +107,7 @@ def json_documents(v, spark):
     from r join t on t.ts = r.ts, bad where c_custkey is not null and (b is null or id < b)""")
 def snowflake_orders(v, spark):
     order_docs = _order_docs(v)
-    who = v("customer").filter(F.col("c_acctbal") > -998)
+    who = v("customer").filter(F.col("c_acctbal") > -990)
     key = F.col("c_custkey").cast("string")
     user_docs = documents.to_documents(
         who.select(
@@ -154,17 +154,22 @@ def snowflake_orders(v, spark):
     from pay p join known using (order_key) join prod using (product_id)""")
 def product_sales_fact(v, spark):
     lines = v("order_lines")
+    # A restaurant's menu comes in one document per category.
     menu = lines.select(
-        "restaurant_id", "restaurant_name",
+        "restaurant_id", "restaurant_name", "category",
         F.struct(F.col("product_id").alias("_id"), F.col("product_name").alias("name"),
                  F.lit("1.00").cast("decimal(14,2)").alias("price")).alias("item"),
     ).distinct()
     place_docs = documents.to_documents(
-        menu.groupBy(F.col("restaurant_id").alias("_id"), F.col("restaurant_name").alias("name"))
+        menu.groupBy(
+            F.col("restaurant_id").alias("_id"), F.col("restaurant_name").alias("name"), "category"
+        )
         .agg(F.collect_list("item").alias("menu"))
+        .drop("category")
         .withColumn("update_ts", _ts("2020-01-01")),
         "_id", "update_ts",
     )
+    place_docs = materialize(place_docs, "documents")
     products = restaurants.products(place_docs, restaurants.restaurants(place_docs))
     bought = v("lineitem").groupBy("l_orderkey", "l_partkey").agg(
         F.max(F.col("l_quantity").cast("int")).alias("quantity"),

@@ -138,9 +138,9 @@ def nearest(
         best = F.array_min(F.transform(table, candidate))
         out = out.withColumn("_best", F.least(F.col("_best"), best))
     has_point = F.col("_x").isNotNull() & F.col("_z").isNotNull()
-    return out.withColumn(name, F.when(has_point, F.col("_best.key"))).drop(
-        "_x", "_y", "_z", "_best"
-    )
+    found = F.when(has_point, F.col("_best.key"))
+    # A generated column keeps later filters and joins from evaluating the search a second time.
+    return out.select(*df.columns, F.explode(F.array(found)).alias(name))
 
 
 def pairs_within(
