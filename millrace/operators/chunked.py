@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 Names = Sequence[str]
 
 
-def time_chunk(ts: str, unit: str = "day") -> Column:
-    """Chunk id of a timestamp: its day, or the whole hours or minutes since the epoch."""
-    if unit == "day":
-        return F.to_date(F.col(ts))
-    micros = {"hour": 3_600_000_000, "minute": 60_000_000}[unit]
+def time_chunk(ts: str, unit: str = "hour") -> Column:
+    """Chunk id of a timestamp: whole days, hours or minutes since the epoch.
+
+    The unit should let the busiest key's chunk fit a task. A finer one costs more summary rows.
+    """
+    micros = {"day": 86_400_000_000, "hour": 3_600_000_000, "minute": 60_000_000}[unit]
     return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(micros))
 
 
@@ -102,36 +103,49 @@ def carried(
         combined = (F.greatest if how == "max" else F.least)(F.col(name), carry)
     else:
         raise ValueError(how)
-    totals = df.groupBy(*keys, chunk).agg(total.alias("_total"))
+    rest = [c for c in df.columns if c not in (*keys, chunk, *order, value)]
+    moved = df.select(
+        *keys, chunk, *order, *[c for c in (value,) if c not in (*keys, *order)],
+        F.struct(*rest, F.lit(0).alias("_pad")).alias("_rest"),
+    ).repartition(*keys, chunk)
+    # Reading the same columns as the main branch lets both share the one shuffle above, and with it
+    # all the work before it; the test itself always holds.
+    totals = (
+        moved.groupBy(*keys, chunk)
+        .agg(total.alias("_total"), F.first("_rest").alias("_same"))
+        .filter(F.col("_same").isNotNull())
+    )
     carries = totals.select(*keys, chunk, outer.over(before).alias("_carry"))
     return (
-        df.withColumn(name, inner.over(local))
+        moved.withColumn(name, inner.over(local))
         .join(carries, [*keys, chunk], "left")
         .withColumn(name, combined)
-        .drop("_carry")
-        .select(*df.columns, name)
+        .select(
+            *[F.col(f"_rest.{c}").alias(c) if c in rest else F.col(c) for c in df.columns], name
+        )
     )
 
 
-def runs(
-    df: DataFrame, keys: Names, chunk: str, order: Names, value: str, at: str
-) -> DataFrame:
+def runs(df: DataFrame, keys: Names, chunk: str, order: Names, value: str) -> DataFrame:
     """Gaps and islands: one row per run of equal consecutive ``value``.
 
-    Returns keys, ``run`` (from 0), ``value``, ``run_start``, ``run_end`` (of ``at``) and
-    ``run_rows``.
+    Returns keys, ``run`` (from 0), ``value``, ``run_start`` and ``run_end`` (of the first order
+    column) and ``run_rows``.
     """
+    at = order[0]
     near = _whole(keys, chunk).orderBy(*order)
-    starts = (F.row_number().over(near) > 1) & ~F.lag(value).over(near).eqNullSafe(F.col(value))
-    marked = df.select(*keys, chunk, *order, F.col(value).alias("_v"), F.col(at).alias("_at"),
-                       starts.cast("int").alias("_starts"))
+    starts = (F.row_number().over(near) > 1) & ~F.lag("_v").over(near).eqNullSafe(F.col("_v"))
+    # Both uses of ``parts`` read these same columns, so one shuffle serves the two.
+    marked = df.select(*keys, chunk, *order, F.col(value).alias("_v")).withColumn(
+        "_starts", starts.cast("int")
+    )
     parts = (
         marked.withColumn("_part", F.sum("_starts").over(near))
         .groupBy(*keys, chunk, "_part")
         .agg(
             F.first("_v").alias("_v"),
-            F.min("_at").alias("_from"),
-            F.max("_at").alias("_to"),
+            F.min(at).alias("_from"),
+            F.max(at).alias("_to"),
             F.count(F.lit(1)).alias("_rows"),
         )
     )

@@ -26,6 +26,21 @@ def current(dim: DataFrame, to_col: str = "effective_to", flag_col: str | None =
     return rows.filter(F.col(flag_col) == 0) if flag_col else rows
 
 
+def spread_join(
+    big: DataFrame, small: DataFrame, keys: Sequence[str], spread: int = 16
+) -> DataFrame:
+    """Inner join that deals the rows of each key of ``big`` out to ``spread`` tasks.
+
+    ``small`` has one row per key and is repeated. Meant for joins whose result is grouped by the same
+    keys: there the engine would keep a whole key in one task instead of splitting a skewed one.
+    """
+    deal = F.pmod(F.xxhash64(*[c for c in big.columns if c not in keys]), F.lit(spread))
+    dealt = big.withColumn("_deal", deal)
+    copies = small.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    copies = copies.withColumn("_deal", F.col("_deal").cast("bigint"))
+    return dealt.join(copies, [*keys, "_deal"]).drop("_deal")
+
+
 def range_first(
     points: DataFrame,
     intervals: DataFrame,
@@ -35,7 +50,7 @@ def range_first(
     end: str,
     payload: Sequence[str],
     tie: str,
-    chunk: str = "day",
+    chunk: str = "hour",
 ) -> DataFrame:
     """Left interval join: the earliest-starting interval of the key that covers ``point``.
 
@@ -97,8 +112,8 @@ def nearest(
     """Add column ``name``: key of the place closest to each row, ties to the smaller key.
 
     The places travel inside the expression as one array, whose size is checked: a list longer than
-    ``block`` is folded block by block, each pass keeping the better of two candidates. The rows are
-    neither multiplied nor shuffled.
+    ``block`` is searched block by block and the best of the blocks' winners kept. The rows are neither
+    multiplied nor shuffled.
     """
     kind = places.schema[place_key].dataType.simpleString()
     vectors = places.select(
@@ -115,17 +130,15 @@ def nearest(
             for at in range(0, total, block)
         )
     x, y, z = unit_vector(lat, lon)
-    pair = f"struct<gap:double,key:{kind}>"
-    out = df.withColumns({"_x": x, "_y": y, "_z": z, "_best": F.lit(None).cast(pair)})
+    out = df.withColumns({"_x": x, "_y": y, "_z": z})
 
     def candidate(p: Column) -> Column:
         # Squared straight-line distance: keeps the order of the great-circle distance.
         dx, dy, dz = F.col("_x") - p["x"], F.col("_y") - p["y"], F.col("_z") - p["z"]
         return F.struct((dx * dx + dy * dy + dz * dz).alias("gap"), p["key"].alias("key"))
 
+    bests = []
     for some in blocks:
-        if not some:
-            continue
         table = F.array(
             *[
                 F.struct(
@@ -135,10 +148,12 @@ def nearest(
                 for p in some
             ]
         )
-        best = F.array_min(F.transform(table, candidate))
-        out = out.withColumn("_best", F.least(F.col("_best"), best))
-    has_point = F.col("_x").isNotNull() & F.col("_z").isNotNull()
-    found = F.when(has_point, F.col("_best.key"))
+        if some:
+            bests.append(F.array_min(F.transform(table, candidate)))
+    if not bests:
+        return df.withColumn(name, F.lit(None).cast(kind))
+    best = bests[0] if len(bests) == 1 else F.least(*bests)
+    found = F.when(F.col("_x").isNotNull() & F.col("_z").isNotNull(), best["key"])
     # A generated column keeps later filters and joins from evaluating the search a second time.
     return out.select(*df.columns, F.explode(F.array(found)).alias(name))
 

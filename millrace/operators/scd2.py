@@ -8,13 +8,13 @@ union and never take part in a join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.values import changed
 from millrace.operators.joins import OPEN_END
-from millrace.operators.ranking import latest_by
 
 FROM, TO, DELETED = "effective_from", "effective_to", "deleted"
 
@@ -40,49 +40,53 @@ def _merge(
     never = F.lit(OPEN_END).cast(ts_type)
     is_open = F.col(TO) == never
     history = dim.filter(~is_open)
-    live = dim.filter(is_open).select(
-        key, F.struct(*attrs, *carry, FROM, DELETED).alias("o"), F.lit(True).alias("_has_o")
-    )
-    if stg is None:
-        both = live.withColumns({"n": F.lit(None), "_has_n": F.lit(False)})
-        attr_of = {a: F.col(f"o.{a}") for a in attrs}
-        takes = F.lit(False)
-        new_from = close_at = F.lit(None).cast(ts_type)
-        has_n = F.lit(False)
-    else:
-        stamped = stg.select(
-            key, *attrs,
-            F.coalesce(F.col(update), F.col(create)).cast(ts_type).alias("_from"),
+    # Open versions, staged states and present keys meet in one grouping, hence in one shuffle.
+    parts = [
+        dim.filter(is_open).select(key, F.struct(*attrs, *carry, FROM, DELETED).alias("o"))
+    ]
+    collect = [F.first("o", ignorenulls=True).alias("o")]
+    if stg is not None:
+        moved = F.coalesce(F.col(update), F.col(create)).cast(ts_type)
+        state = F.struct(*[F.col(a).cast(dim.schema[a].dataType).alias(a) for a in attrs],
+                         moved.alias("_from"))
+        parts.append(
+            stg.select(F.col(key).cast(dim.schema[key].dataType).alias(key), state.alias("n"))
+        )
+        collect.append(
+            F.max_by("n", F.struct("n._from", *[f"n.{a}" for a in attrs])).alias("n")
         )
-        last = latest_by(stamped, [key], "_from", *attrs)
-        both = live.join(
-            last.select(key, F.struct(*attrs, "_from").alias("n"), F.lit(True).alias("_has_n")),
-            key, "full_outer",
+    if slice_keys is not None:
+        parts.append(
+            slice_keys.select(
+                F.col(key).cast(dim.schema[key].dataType).alias(key), F.lit(True).alias("_kept")
+            )
         )
-        has_n = F.coalesce(F.col("_has_n"), F.lit(False))
+        collect.append(F.max("_kept").alias("_kept"))
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    both = both.groupBy(key).agg(*collect)
+    has_o = F.col("o").isNotNull()
+    takes = F.lit(False)
+    attr_of = {a: F.col(f"o.{a}") for a in attrs}
+    new_from = close_at = F.lit(None).cast(ts_type)
+    if stg is not None:
         # A version is replaced only by a later state, so a replayed batch changes nothing.
         later = F.col("n._from") > F.col(f"o.{FROM}")
         dead = F.col(f"o.{DELETED}") == 1
-        takes = F.lit(False)
         if insert:
-            takes = takes | F.col("_has_o").isNull() | (dead & later)
+            takes = takes | ~has_o | (dead & later)
         if change:
-            takes = takes | (F.col("_has_o") & ~dead & later & changed("o", "n", attrs))
-        takes = has_n & F.coalesce(takes, F.lit(False))
+            takes = takes | (has_o & ~dead & later & changed("o", "n", attrs))
+        takes = F.col("n").isNotNull() & F.coalesce(takes, F.lit(False))
         attr_of = {
-            a: F.when(takes, F.col(f"n.{a}")).otherwise(F.col(f"o.{a}")) for a in attrs
+            a: F.when(F.col("_takes"), F.col(f"n.{a}")).otherwise(F.col(f"o.{a}")) for a in attrs
         }
         new_from, close_at = F.col("n._from"), F.col("n._from") - _gap()
-    has_o = F.coalesce(F.col("_has_o"), F.lit(False))
-    if slice_keys is None:
-        gone = F.lit(False)
-    else:
+    gone = F.lit(False)
+    if slice_keys is not None:
         moment = F.lit(now).cast(ts_type)
-        kept = slice_keys.select(key).distinct().withColumn("_kept", F.lit(True))
-        both = both.join(kept, key, "left")
-        alive = takes | (has_o & (F.col(f"o.{DELETED}") == 0))
-        gone = F.col("_kept").isNull() & alive
-    both = both.withColumns({"_takes": takes, "_gone": gone, "_old": has_o})
+        alive = F.col("_takes") | (has_o & (F.col(f"o.{DELETED}") == 0))
+        gone = F.col("_kept").isNull() & F.coalesce(alive, F.lit(False))
+    both = both.withColumn("_takes", takes).withColumns({"_gone": gone, "_old": has_o})
     takes, gone = F.col("_takes"), F.col("_gone")
     if slice_keys is None:
         last_end, moment = never, F.lit(None).cast(ts_type)
@@ -136,7 +140,7 @@ def scd2_delete(dim, key_slice, now: str, key: str, attrs: Sequence[str], **name
 def scd2_apply(
     dim, stg, key_slice, now: str, key: str, attrs: Sequence[str], **names
 ) -> DataFrame:
-    """Insert, change and delete in one pass: one full outer join over the open versions.
+    """Insert, change and delete in one pass: one shuffle of the open versions.
 
     ``carry`` names columns, such as a surrogate key, that new versions take over from the open one.
     Several staged states of a key count as their latest.

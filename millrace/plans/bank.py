@@ -78,7 +78,7 @@ def _operations(txns: DataFrame, people: DataFrame) -> DataFrame:
 
 def fraud_city_hop(
     txns: DataFrame, people: DataFrame, terminals: DataFrame, report_from: str | None = None,
-    within: str = "1 hour", chunk: str = "day",
+    within: str = "1 hour", chunk: str = "hour",
 ) -> DataFrame:
     """Operations followed within ``within`` by one of the same client in another city."""
     place = current(terminals).select("terminal", F.col("terminal_city").alias("city"))
@@ -102,7 +102,7 @@ def fraud_city_hop(
 
 def fraud_amount_probe(
     txns: DataFrame, people: DataFrame, report_from: str | None = None,
-    within: str = "20 minutes", chunk: str = "day",
+    within: str = "20 minutes", chunk: str = "hour",
 ) -> DataFrame:
     """Three rejected operations with falling amounts, then a smaller successful one: that one."""
     line = (

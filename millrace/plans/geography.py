@@ -6,7 +6,7 @@ Events hold event_id, event_type, lat, lon, date and the struct ``event`` with `
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.values import local_time
@@ -30,7 +30,7 @@ def nearest_city(rows: DataFrame, cities: DataFrame, name: str = "zone_id") -> D
 
 
 def user_geo(
-    events: DataFrame, cities: DataFrame, home_days: int = 27, chunk: str = "day"
+    events: DataFrame, cities: DataFrame, home_days: int = 27, chunk: str = "hour"
 ) -> DataFrame:
     """Current and home city, journeys and local time of users who sent messages.
 
@@ -42,7 +42,7 @@ def user_geo(
         ),
         cities,
     ).drop("lat", "lon").withColumn("_chunk", time_chunk("ts", chunk))
-    stays = runs(located, ["user_id"], "_chunk", ["ts", "event_id"], "zone_id", "ts")
+    stays = runs(located, ["user_id"], "_chunk", ["ts", "event_id"], "zone_id")
     city = cities.select(F.col("id").alias("zone_id"), "city", "timezone")
     named = stays.join(city, "zone_id", "left")
     long_stay = F.datediff("run_end", "run_start") > home_days
@@ -62,54 +62,55 @@ def user_geo(
     )
 
 
-def zone_activity(events: DataFrame, cities: DataFrame, chunk: str = "day") -> DataFrame:
+def zone_activity(events: DataFrame, cities: DataFrame, chunk: str = "hour") -> DataFrame:
     """Messages, reactions, subscriptions and registrations per zone, by week and month.
 
     Events other than messages stand where their user's last message was sent from; those before any
-    message have no zone and are not counted. A user's first message is the registration. Counts per
-    week and month come from one grouping; the totals are added to its small result.
+    message have no zone and are not counted. A user's first message is the registration.
     """
     rows = flat(events)
-    placed = nearest_city(rows, cities, "_here")
-    sent = F.when(F.col("event_type") == "message", F.col("_here"))
-    line = placed.select(
-        "user_id", "ts", "event_id", "event_type", sent.alias("_zone")
-    ).withColumn("_chunk", time_chunk("ts", chunk))
+    is_message = F.col("event_type") == "message"
+    # Only messages keep their coordinates, so only they are searched for.
+    sent = rows.select(
+        "user_id", "ts", "event_id", "event_type",
+        F.when(is_message, F.col("lat")).alias("lat"), F.when(is_message, F.col("lon")).alias("lon"),
+    )
+    line = nearest_city(sent, cities, "_zone").drop("lat", "lon").withColumn(
+        "_chunk", time_chunk("ts", chunk)
+    )
     zoned = carried(
         line, ["user_id"], "_chunk", ["ts", "event_id"], "_zone", "zone_id", "last"
     ).filter(F.col("zone_id").isNotNull())
-    month, week = F.trunc("ts", "month"), F.trunc("ts", "week")
-    first = (
-        zoned.filter(F.col("event_type") == "message")
-        .groupBy("user_id")
-        .agg(F.min_by(F.struct("ts", "zone_id"), F.struct("ts", "event_id")).alias("_f"))
-        .select(F.col("_f.ts").alias("ts"), F.col("_f.zone_id").alias("zone_id"),
-                F.lit("registration").alias("event_type"))
+    kinds = {"message": "message", "reaction": "reaction", "subscription": "subscription"}
+    told = F.col("event_type") == "message"
+    # Per user first: a user has few rows then, the earliest of which is the registration.
+    users = (
+        zoned.filter(F.col("event_type").isin(*kinds.values()))
+        .groupBy(
+            "user_id", F.trunc("ts", "month").alias("month"), F.trunc("ts", "week").alias("week"),
+            "zone_id",
+        )
+        .agg(
+            *[F.count_if(F.col("event_type") == v).alias(k) for k, v in kinds.items()],
+            F.min(F.when(told, F.struct("ts", "event_id"))).alias("_first"),
+        )
+    )
+    rank = F.row_number().over(
+        Window.partitionBy("user_id").orderBy(F.col("_first").asc_nulls_last())
     )
-    kinds = {
-        "message": "message", "reaction": "reaction",
-        "subscription": "subscription", "user": "registration",
-    }
     base = (
-        zoned.select("ts", "zone_id", "event_type").unionByName(first)
-        .filter(F.col("event_type").isin(*kinds.values()))
-        .groupBy(month.alias("month"), week.alias("week"), "zone_id")
-        .agg(*[F.count_if(F.col("event_type") == v).alias(k) for k, v in kinds.items()])
+        users.withColumn("user", (rank == 1).cast("int"))
+        .groupBy("month", "week", "zone_id")
+        .agg(*[F.sum(k).alias(k) for k in (*kinds, "user")])
     )
 
-    def totals(period: str) -> DataFrame:
-        return base.groupBy(period, "zone_id").agg(
-            *[F.sum(k).alias(f"{period}_{k}") for k in kinds]
-        )
+    def total(period: str, k: str):
+        return F.sum(k).over(Window.partitionBy(period, "zone_id"))
 
-    return (
-        base.select("month", "week", "zone_id")
-        .join(totals("week"), ["week", "zone_id"])
-        .join(totals("month"), ["month", "zone_id"])
-        .select(
-            "month", "week", "zone_id",
-            *[f"week_{k}" for k in kinds], *[f"month_{k}" for k in kinds],
-        )
+    # One row per zone, week and month is left, so the totals are plain windows.
+    return base.select(
+        "month", "week", "zone_id",
+        *[total(p, k).alias(f"{p}_{k}") for p in ("week", "month") for k in (*kinds, "user")],
     )
 
 

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from millrace.functions.values import elapsed_hours, elapsed_us, strip_blanks
 from millrace.operators.chunked import carried, time_chunk
-from millrace.operators.joins import current, range_first, unseen
+from millrace.operators.joins import current, range_first, spread_join, unseen
 from millrace.operators.scd2 import scd2_apply
+from millrace.session import materialize
 
 
 def ride_facts(
     rides: DataFrame, movement: DataFrame, waybills: DataFrame, fact: DataFrame | None = None,
-    chunk: str = "day",
+    chunk: str = "hour",
 ) -> DataFrame:
     """Finished rides: event times pivoted from car movement, driver from the car's waybill."""
     moved = movement.groupBy("ride").agg(
@@ -95,7 +96,7 @@ def driver_payout(
 
 
 def driver_speeding(
-    rides: DataFrame, report_date: str | None = None, limit_kmh: int = 85, chunk: str = "day"
+    rides: DataFrame, report_date: str | None = None, limit_kmh: int = 85, chunk: str = "hour"
 ) -> DataFrame:
     """Rides above the speed limit with the driver's running violation number, the first being 1."""
     us = elapsed_us("ride_start_dt", "ride_end_dt")
@@ -107,7 +108,10 @@ def driver_speeding(
         .withColumn("speed", speed)
         .filter(F.col("speed") > limit_kmh)
         .withColumn("_chunk", time_chunk("ride_arrival_dt", chunk))
+        .drop("_us", "distance_val")
     )
+    # The few violations are written once; numbering them reads them twice.
+    fast = materialize(fast, "violations")
     # Rides without a driver share no history; they keep the number NULL.
     known = carried(
         fast.filter(F.col("driver_pers_num").isNotNull()), ["driver_pers_num"], "_chunk",
@@ -137,7 +141,7 @@ def driver_overtime(
     end = F.least(F.col("work_end_dt"), F.col("start_work_dt") + F.expr("INTERVAL 24 HOURS"))
     return (
         day.filter(F.col("personnel_num").isNotNull())
-        .join(first, keys)
+        .transform(lambda d: spread_join(d, first, keys))
         .withColumn("_us", elapsed_us("work_start_dt", end))
         .groupBy(*keys, "start_work_dt")
         .agg((F.sum("_us") / F.lit(3_600_000_000)).alias("working_time"))

@@ -24,7 +24,7 @@ def rows(spark):
             n += 1
     df = spark.createDataFrame(data, "key string, s bigint, id bigint, v string, x int")
     return df.withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz")).withColumn(
-        "c", time_chunk("ts")
+        "c", time_chunk("ts", "day")
     ).cache()
 
 
@@ -65,7 +65,7 @@ def test_carried(rows, how, inclusive):
 
 
 def test_runs(rows):
-    got = runs(rows, ["key"], "c", ["ts", "id"], "v", "ts")
+    got = runs(rows, ["key"], "c", ["ts", "id"], "v")
     turn = (F.row_number().over(line()) > 1) & ~F.lag("v").over(line()).eqNullSafe(F.col("v"))
     want = (
         rows.withColumn("run", F.sum(turn.cast("int")).over(line()))
