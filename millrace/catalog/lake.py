@@ -154,18 +154,19 @@ def snowflake_orders(v, spark):
     from pay p join known using (order_key) join prod using (product_id)""")
 def product_sales_fact(v, spark):
     lines = v("order_lines")
-    # A restaurant's menu comes in one document per category.
+    # A menu comes in documents of a thousand consecutive product numbers, which bounds their size.
     menu = lines.select(
-        "restaurant_id", "restaurant_name", "category",
+        "restaurant_id", "restaurant_name",
+        F.floor(F.col("product_id").cast("bigint") / 1000).alias("part"),
         F.struct(F.col("product_id").alias("_id"), F.col("product_name").alias("name"),
                  F.lit("1.00").cast("decimal(14,2)").alias("price")).alias("item"),
     ).distinct()
     place_docs = documents.to_documents(
         menu.groupBy(
-            F.col("restaurant_id").alias("_id"), F.col("restaurant_name").alias("name"), "category"
+            F.col("restaurant_id").alias("_id"), F.col("restaurant_name").alias("name"), "part"
         )
         .agg(F.collect_list("item").alias("menu"))
-        .drop("category")
+        .drop("part")
         .withColumn("update_ts", _ts("2020-01-01")),
         "_id", "update_ts",
     )

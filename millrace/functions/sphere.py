@@ -59,19 +59,21 @@ class Grid:
         b = self.band(lat)
         return F.struct(b.alias("band"), self.slot(b, lon).alias("slot"))
 
+    def _ring(self, lat, lon, up: int) -> Column:
+        b = self.band(lat) + up
+        n, s = self._ring_size(b), self.slot(b, lon)
+        near = F.array(*[F.pmod(s + d, n) for d in (-1, 0, 1)])
+        return F.transform(
+            F.array_distinct(near), lambda x: F.struct(b.alias("band"), x.alias("slot"))
+        )
+
     def forward_cells(self, lat, lon) -> Column:
         """Cells of the point's own band and of the next one that can hold a partner.
 
         Looking only forward finds each pair of different bands once.
         """
+        return F.concat(self._ring(lat, lon, 0), self._ring(lat, lon, 1))
 
-        def ring(up: int) -> Column:
-            b = self.band(lat) + up
-            n, s = self._ring_size(b), self.slot(b, lon)
-            near = F.array(*[F.pmod(s + d, n) for d in (-1, 0, 1)])
-            return F.transform(
-                F.array_distinct(near),
-                lambda x: F.struct(b.alias("band"), x.alias("slot")),
-            )
-
-        return F.concat(ring(0), ring(1))
+    def touching_cells(self, lat, lon) -> Column:
+        """All cells that can hold a point within the radius."""
+        return F.concat(*[self._ring(lat, lon, up) for up in (-1, 0, 1)])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.sphere import Grid, haversine_km, unit_vector
 from millrace.operators.chunked import carried, time_chunk
-from millrace.operators.ranking import numbered
+from millrace.session import materialize
 
 OPEN_END = "2999-12-31 00:00:00"
 
@@ -107,55 +107,84 @@ def nearest(
     place_lat: str,
     place_lon: str,
     name: str,
-    block: int = 2000,
+    limit: int = 2000,
 ) -> DataFrame:
     """Add column ``name``: key of the place closest to each row, ties to the smaller key.
 
-    The places travel inside the expression as one array, whose size is checked: a list longer than
-    ``block`` is searched block by block and the best of the blocks' winners kept. The rows are neither
-    multiplied nor shuffled.
+    Up to ``limit`` places (the list is checked) travel inside the expression as one array: the rows
+    are neither multiplied nor shuffled. More places are found through a grid.
     """
-    kind = places.schema[place_key].dataType.simpleString()
-    vectors = places.select(
+    listed = places.select(
         F.col(place_key).alias("key"),
-        *[c.alias(n) for n, c in zip("xyz", unit_vector(place_lat, place_lon))],
-    ).filter(F.col("x").isNotNull() & F.col("z").isNotNull())
-    head = vectors.limit(block + 1).collect()
-    if len(head) <= block:
-        blocks = [head]
-    else:
-        listed, total = numbered(vectors, "_no", "key", "x", "y", "z")
-        blocks = (
-            listed.filter(F.col("_no").between(at, at + block - 1)).collect()
-            for at in range(0, total, block)
-        )
-    x, y, z = unit_vector(lat, lon)
-    out = df.withColumns({"_x": x, "_y": y, "_z": z})
+        F.col(place_lat).cast("double").alias("plat"), F.col(place_lon).cast("double").alias("plon"),
+    ).dropna()
+    head = listed.withColumns(
+        dict(zip(("x", "y", "z"), unit_vector("plat", "plon")))
+    ).limit(limit + 1).collect()
+    kind = places.schema[place_key].dataType.simpleString()
+    if not head:
+        return df.withColumn(name, F.lit(None).cast(kind))
+    if len(head) > limit:
+        return _nearest_by_grid(df, listed, lat, lon, name)
+    table = F.array(
+        *[
+            F.struct(
+                F.lit(p["key"]).cast(kind).alias("key"),
+                *[F.lit(p[a]).cast("double").alias(a) for a in "xyz"],
+            )
+            for p in head
+        ]
+    )
 
     def candidate(p: Column) -> Column:
         # Squared straight-line distance: keeps the order of the great-circle distance.
         dx, dy, dz = F.col("_x") - p["x"], F.col("_y") - p["y"], F.col("_z") - p["z"]
         return F.struct((dx * dx + dy * dy + dz * dz).alias("gap"), p["key"].alias("key"))
 
-    bests = []
-    for some in blocks:
-        table = F.array(
-            *[
-                F.struct(
-                    F.lit(p["key"]).cast(kind).alias("key"),
-                    *[F.lit(p[a]).cast("double").alias(a) for a in "xyz"],
-                )
-                for p in some
-            ]
-        )
-        if some:
-            bests.append(F.array_min(F.transform(table, candidate)))
-    if not bests:
-        return df.withColumn(name, F.lit(None).cast(kind))
-    best = bests[0] if len(bests) == 1 else F.least(*bests)
+    x, y, z = unit_vector(lat, lon)
+    best = F.array_min(F.transform(table, candidate))
     found = F.when(F.col("_x").isNotNull() & F.col("_z").isNotNull(), best["key"])
     # A generated column keeps later filters and joins from evaluating the search a second time.
-    return out.select(*df.columns, F.explode(F.array(found)).alias(name))
+    return df.withColumns({"_x": x, "_y": y, "_z": z}).select(
+        *df.columns, F.explode(F.array(found)).alias(name)
+    )
+
+
+# Radii of the grid search in km, the last one beyond half the globe's girth.
+RADII_KM = (20, 80, 320, 1280, 5120, 20480)
+
+
+def _nearest_by_grid(
+    df: DataFrame, listed: DataFrame, lat: str, lon: str, name: str
+) -> DataFrame:
+    """Nearest place of each distinct position, searched in circles that grow until one is hit.
+
+    A place found within the circle's radius is the nearest, since any closer one lies in the cells
+    looked at. Only positions without a hit go on to the next circle.
+    """
+    open_ = df.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).dropna().distinct()
+    done = []
+    for radius in RADII_KM:
+        grid = Grid(radius)
+        sites = listed.withColumn("_cell", grid.cell("plat", "plon"))
+        asked = open_.withColumn("_cell", F.explode(grid.touching_cells("_lat", "_lon")))
+        gap = haversine_km("_lat", "_lon", "plat", "plon")
+        best = materialize(
+            asked.join(sites, "_cell", "left")
+            .groupBy("_lat", "_lon")
+            .agg(F.min(F.when(F.col("key").isNotNull(), F.struct(gap.alias("gap"), "key")))
+                 .alias("_b")),
+            "nearest",
+        )
+        hit = F.coalesce(F.col("_b.gap") <= radius, F.lit(False))
+        done.append(best.filter(hit).select("_lat", "_lon", F.col("_b.key").alias(name)))
+        open_ = best.filter(~hit).select("_lat", "_lon")
+        if open_.isEmpty():
+            break
+    found = reduce(lambda a, b: a.unionByName(b), done)
+    return df.join(
+        found, (F.col(lat) == F.col("_lat")) & (F.col(lon) == F.col("_lon")), "left"
+    ).select(*df.columns, name)
 
 
 def pairs_within(

@@ -61,3 +61,41 @@ def data_quality(tables: dict[str, DataFrame], rules: dict[str, Rules]) -> DataF
             )
         )
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def rfm_rules() -> Rules:
+    """Scores of the RFM mart lie in 1..5."""
+    scores = ("recency", "frequency", "monetary_value")
+    return Rules(
+        ["user_id"], ["user_id", *scores],
+        checks={f"{c} in 1..5": F.col(c).between(1, 5) for c in scores},
+    )
+
+
+def order_rules() -> Rules:
+    """An order costs what was paid in money and in bonus."""
+    return Rules(
+        ["order_id"], ["order_id", "user_id", "order_ts", "status"],
+        checks={"cost = payment + bonus": F.col("cost") == F.col("payment") + F.col("bonus_payment")},
+    )
+
+
+def sales_rules() -> Rules:
+    """Amounts and counts of product sales are not negative."""
+    amounts = ("count", "price", "total_sum", "bonus_payment", "bonus_grant")
+    return Rules(
+        ["product_id", "order_key"], ["product_id", "order_key"],
+        checks={f"{c} >= 0": F.col(c) >= 0 for c in amounts},
+    )
+
+
+def timestamp_rules() -> Rules:
+    """Parts of a time lie in their calendar ranges."""
+    return Rules(
+        ["ts"], ["ts", "date", "time"],
+        checks={
+            "year in 2020..2499": F.col("year").between(2020, 2499),
+            "month in 0..12": F.col("month").between(0, 12),
+            "day in 0..31": F.col("day").between(0, 31),
+        },
+    )

@@ -13,10 +13,10 @@ DAY_MASK = (r"_(\d{8})\.", "ddMMyyyy")
 MINUTE_MASK = (r"(\d{4}-\d{2}-\d{2}_\d{2}-\d{2})", "yyyy-MM-dd_HH-mm")
 
 
-def name_time(mask: tuple[str, str]) -> Column:
+def name_time(mask: tuple[str, str], path: str = "_metadata.file_path") -> Column:
     """Time stated in the name of the file, or dated folder of part files, a row comes from."""
     pattern, layout = mask
-    text = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    text = F.regexp_extract(F.col(path), pattern, 1)
     return F.try_to_timestamp(F.when(text != "", text), F.lit(layout))
 
 
@@ -25,13 +25,17 @@ def next_dated_file(
 ) -> DataFrame:
     """Rows of the earliest file newer than ``high_water``, stamped with its time.
 
-    The choice is by date, not by name. Both filters use file metadata alone, so other files are
-    dropped when the scan is planned.
+    The choice is by date, not by name, and needs only the file listing. The filter uses file metadata
+    alone, so the other files are dropped when the scan is planned.
     """
+    spark = df.sparkSession
+    names = spark.createDataFrame([(f,) for f in df.inputFiles()], "path string")
+    times = names.select(name_time(mask, "path").alias("t"))
+    first = times.filter(F.col("t") > F.lit(high_water).cast("timestamp")).agg(
+        F.date_format(F.min("t"), "yyyy-MM-dd HH:mm:ss").alias("t")
+    ).first()["t"]
     at = name_time(mask)
-    later = df.filter(at > F.lit(high_water).cast("timestamp"))
-    first = later.agg(F.min(at).alias("t")).first()["t"]
-    chosen = later.filter(at == F.lit(first).cast("timestamp"))
+    chosen = df.filter(at == F.lit(first).cast("timestamp"))
     return chosen.withColumn(stamp, at.cast("timestamp_ntz"))
 
 

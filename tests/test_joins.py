@@ -60,18 +60,22 @@ def places(spark):
     return data, spark.createDataFrame(data, "id int, plat double, plon double")
 
 
-@pytest.mark.parametrize("block", [2000, 10])
-def test_nearest(spark, block):
+@pytest.mark.parametrize("limit", [2000, 10])
+def test_nearest(spark, limit):
     cities, df = places(spark)
     rng = random.Random(1)
     pts = [(i, rng.uniform(-45, -10), rng.uniform(110, 155)) for i in range(300)] + [(999, None, 1.0)]
+    # On a place, near one, the far side of the globe, both poles, the date line.
+    pts += [(400, -33.865, 151.2094), (401, -33.86, 151.21), (402, 35.0, -30.0), (403, 90.0, 0.0),
+            (404, -90.0, 50.0), (405, -20.0, 180.0), (406, -20.0, -180.0)]
     rows = spark.createDataFrame(pts, "n int, lat double, lon double")
-    got = nearest(rows, df, "lat", "lon", "id", "plat", "plon", "city", block)
-    for r in got.collect():
+    got = nearest(rows, df, "lat", "lon", "id", "plat", "plon", "city", limit).collect()
+    assert len(got) == len(pts)
+    for r in got:
         want = None if r["lat"] is None else min(
             cities, key=lambda c: (km((r["lat"], r["lon"]), c[1:]), c[0])
         )[0]
-        assert r["city"] == want
+        assert r["city"] == want, r
 
 
 def test_nearest_tie_takes_smaller_key(spark):

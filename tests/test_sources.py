@@ -121,3 +121,31 @@ def test_shared_dir_comes_from_the_session(spark):
 @pytest.mark.parametrize("fraction,least", [(None, 1000), (0.5, 1)])
 def test_sample(spark, fraction, least):
     assert least <= scans.sample_events(spark.range(1000), fraction, 1).count() <= 1000
+
+
+def test_standard_rules(spark):
+    from millrace.operators.quality import order_rules, rfm_rules, sales_rules, timestamp_rules
+
+    rfm = spark.createDataFrame([(1, 0, 5, 6)], "user_id int, recency int, frequency int, monetary_value int")
+    orders = spark.createDataFrame(
+        [(1, 1, 1, 1, 3.0, 2.0, 1.0), (2, 1, 1, 1, 3.0, 2.0, 2.0)],
+        "order_id int, user_id int, order_ts int, status int, cost double, payment double, bonus_payment double",
+    )
+    sold = spark.createDataFrame(
+        [("p", "o", -1, 1.0, 1.0, 0.0, 0.0)],
+        "product_id string, order_key string, count int, price double, total_sum double, "
+        "bonus_payment double, bonus_grant double",
+    )
+    times = spark.createDataFrame(
+        [("t", "d", "x", 2019, 13, 1)],
+        "ts string, date string, time string, year int, month int, day int",
+    )
+    got = data_quality(
+        {"rfm": rfm, "orders": orders, "sales": sold, "times": times},
+        {"rfm": rfm_rules(), "orders": order_rules(), "sales": sales_rules(), "times": timestamp_rules()},
+    )
+    assert sorted((r["table"], r["column"]) for r in got.filter("violations > 0").collect()) == [
+        ("orders", "cost = payment + bonus"), ("rfm", "monetary_value in 1..5"),
+        ("rfm", "recency in 1..5"), ("sales", "count >= 0"), ("times", "month in 0..12"),
+        ("times", "year in 2020..2499"),
+    ]
