@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.base import query
 from millrace.plans import bank
-from millrace.session import scratch_path
+from millrace.session import materialize, scratch_path
 from millrace.sources.sinks import append_report, read_table
 
 PEOPLE = """
@@ -101,7 +101,9 @@ def report(v, spark):
                              amount_probe(v, spark))
     path = scratch_path(spark, "rep_fraud")
     # One shuffle by day keeps the files few; a busy day is spread over several tasks.
-    spread = rows.repartition("report_dt", F.pmod(F.xxhash64("passport"), F.lit(4)))
+    spread = materialize(rows, "fraud").repartition(
+        "report_dt", F.pmod(F.xxhash64("passport"), F.lit(4))
+    )
     append_report(spread, path)
     last = F.lit("2024-01-15").cast("date")
     append_report(spread.filter(F.col("report_dt") == last), path)

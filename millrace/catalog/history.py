@@ -13,6 +13,18 @@ END = "timestamp '2999-12-31'"
 GAP = "interval '15' second"
 VIEWS = "dim_customer stg_customer slice_customer"
 COLS = "id, segment, nation, effective_from, effective_to, deleted"
+SPAN = ("effective_from", "effective_to")
+
+
+def span_text(df):
+    """Version bounds as text: the open end lies beyond the range of nanosecond timestamps."""
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in SPAN})
+
+
+def span_sql(sql: str, cols: str) -> str:
+    """The same for a SQL twin with the given other columns."""
+    text = ", ".join(f"strftime({c}, '%Y-%m-%d %H:%M:%S') as {c}" for c in SPAN)
+    return f"select {cols}, {text} from ({sql}) versions"
 
 
 def _oracle(insert: bool, change: bool, delete: bool) -> str:
@@ -27,7 +39,7 @@ def _oracle(insert: bool, change: bool, delete: bool) -> str:
     takes = f"n_id is not null and coalesce({' or '.join(f'({x})' for x in new)}, false)" \
         if new else "false"
     gone = "not kept and (takes or o_del = 0)" if delete else "false"
-    return f"""
+    return span_sql(f"""
     with o as (select * from dim_customer where effective_to = {END}),
     j as (
         select coalesce(o.id, n.id) as id, o.id as o_id, o.segment as o_seg, o.nation as o_nat,
@@ -46,7 +58,7 @@ def _oracle(insert: bool, change: bool, delete: bool) -> str:
     select id, n_seg, n_nat, n_from, last_end, 0 from f where takes
     union all
     select id, case when takes then n_seg else o_seg end, case when takes then n_nat else o_nat end,
-           timestamp '{NOW}', {END}, 1 from f where gone"""
+           timestamp '{NOW}', {END}, 1 from f where gone""", "id, segment, nation, deleted")
 
 
 ATTRS = ["segment", "nation"]
@@ -54,23 +66,27 @@ ATTRS = ["segment", "nation"]
 
 @query("scd2_insert", VIEWS, _oracle(True, False, False))
 def scd2_insert(v, spark):
-    return scd2.scd2_new(v("dim_customer"), v("stg_customer"), "id", ATTRS)
+    return span_text(scd2.scd2_new(v("dim_customer"), v("stg_customer"), "id", ATTRS))
 
 
 @query("scd2_change", VIEWS, _oracle(False, True, False))
 def scd2_change(v, spark):
-    return scd2.scd2_change(v("dim_customer"), v("stg_customer"), "id", ATTRS)
+    return span_text(scd2.scd2_change(v("dim_customer"), v("stg_customer"), "id", ATTRS))
 
 
 @query("scd2_delete", VIEWS, _oracle(False, False, True))
 def scd2_delete(v, spark):
-    return scd2.scd2_delete(v("dim_customer"), v("slice_customer"), NOW, "id", ATTRS)
+    return span_text(
+        scd2.scd2_delete(v("dim_customer"), v("slice_customer"), NOW, "id", ATTRS)
+    )
 
 
 @query("scd2_apply", VIEWS, _oracle(True, True, True))
 def scd2_apply(v, spark):
-    return scd2.scd2_apply(
-        v("dim_customer"), v("stg_customer"), v("slice_customer"), NOW, "id", ATTRS
+    return span_text(
+        scd2.scd2_apply(
+            v("dim_customer"), v("stg_customer"), v("slice_customer"), NOW, "id", ATTRS
+        )
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import query
+from millrace.catalog.history import span_sql, span_text
 from millrace.plans import taxi
 
 WAYBILLS = """
@@ -148,7 +149,7 @@ def client_profile(v, spark):
     return taxi.client_profile(_rides(v), v("taxi_payments"), v("taxi_clients"))
 
 
-@query("client_profile_history", VIEWS + " taxi_clients taxi_payments", f"""
+@query("client_profile_history", VIEWS + " taxi_clients taxi_payments", span_sql(f"""
     with {WAYBILLS}, {RIDES}, {PROFILE},
     early as (
         select c.phone_num, c.client_id, count(ride_start_dt) as rides_cnt,
@@ -179,7 +180,8 @@ def client_profile(v, spark):
     union all
     select phone_num, r1, c1, cast(s1 as double), cast(d1 as double), client_id,
            timestamp '2024-02-01', timestamp '2999-12-31', 0
-    from both_ where fresh""")
+    from both_ where fresh""",
+    "phone_num, rides_cnt, cancelled_cnt, spent_amt, debt_amt, client_id, deleted"))
 def client_profile_history(v, spark):
     rides, payments, clients = _rides(v), v("taxi_payments"), v("taxi_clients")
     early = rides.filter(F.col("ride_arrival_dt") < F.lit("2024-01-20").cast("timestamp_ntz"))
@@ -192,6 +194,8 @@ def client_profile_history(v, spark):
         }
     )
     now = taxi.client_profile(rides, payments, clients)
-    return taxi.client_profile_history(
-        history, now, clients.select("phone_num"), "2024-02-01 00:00:00"
+    return span_text(
+        taxi.client_profile_history(
+            history, now, clients.select("phone_num"), "2024-02-01 00:00:00"
+        )
     )
