@@ -5,7 +5,7 @@ the job. Here each key is cut along its order into *chunks* (an hour, a day, ...
 column). Windows run per (key, chunk); what crosses a chunk border is carried by a summary with a few
 rows per chunk. The summary join keeps the (key, chunk) partitioning, so the data moves once.
 
-``order`` must be a total order inside the key and ``chunk`` must grow with it.
+``order`` must be a total order inside the key and ``chunk`` must grow with it. Keys must not be NULL.
 """
 
 from __future__ import annotations

@@ -12,6 +12,7 @@ from millrace.functions.sphere import Grid, haversine_km, unit_vector
 from millrace.operators.chunked import carried, time_chunk
 from millrace.session import materialize
 
+# Fixed value: end of a version that is still open.
 OPEN_END = "2999-12-31 00:00:00"
 
 
