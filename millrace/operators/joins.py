@@ -35,7 +35,10 @@ def spread_join(
     ``small`` has one row per key and is repeated. Meant for joins whose result is grouped by the same
     keys: there the engine would keep a whole key in one task instead of splitting a skewed one.
     """
-    deal = F.pmod(F.xxhash64(*[c for c in big.columns if c not in keys]), F.lit(spread))
+    # The partition a row comes from is part of its number, so that copies of a row part as well.
+    # Which task a row meets its partner in does not change the result.
+    rest = [c for c in big.columns if c not in keys]
+    deal = F.pmod(F.xxhash64(F.spark_partition_id(), *rest), F.lit(spread))
     dealt = big.withColumn("_deal", deal)
     copies = small.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     copies = copies.withColumn("_deal", F.col("_deal").cast("bigint"))

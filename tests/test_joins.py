@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.views import CITIES
 from millrace.functions.keys import ORDER_NAMESPACE, joined, uuid5
-from millrace.operators.joins import nearest, pairs_within, range_first
+from millrace.operators.joins import nearest, pairs_within, range_first, spread_join
 
 
 def km(a, b):
@@ -112,3 +112,11 @@ def test_uuid5_equals_library(spark):
     assert got == {n: str(uuid.uuid5(uuid.UUID(ORDER_NAMESPACE), n)) for n in names}
     one = df.limit(1).select(joined(F.lit("x"), F.lit(2)).alias("j")).first()["j"]
     assert one == "x#$#2"
+
+
+def test_spread_join_equals_plain_join(spark):
+    big = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    small = spark.createDataFrame([(0, "a"), (1, "b"), (9, "z")], "k bigint, n string")
+    got = spread_join(big, small, ["k"], 4)
+    want = big.join(small, "k")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
