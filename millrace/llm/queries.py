@@ -5,9 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import pii
-from millrace.llm.tables import table
+from millrace.llm import pii, quality
+from millrace.llm.tables import held_out, table
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; a fifth of the keys is held out of learning."""
+    docs, apart = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0)
+    network = quality.fit(docs, table(spark, sf_dir, "labels"), ~apart)
+    return quality.score(docs, network).select(
+        "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +25,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op9_pii": op9_pii,
 }
 
