@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import pii, quality
+from millrace.llm import neardup, pii, quality
 from millrace.llm.tables import held_out, table
 
 
@@ -19,6 +19,13 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with alike sets of two-word shingles."""
+    found = neardup.groups(table(spark, sf_dir, "documents"), n=2, least=80)
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"),
+                        (F.col("component") == F.col("doc_id")).alias("kept"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.digest(table(spark, sf_dir, "documents"))
@@ -26,6 +33,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op5_near_duplicates": op5_near_duplicates,
     "op9_pii": op9_pii,
 }
 

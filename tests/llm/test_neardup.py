@@ -1,0 +1,94 @@
+import random
+import re
+
+import numpy as np
+
+from millrace.llm import neardup
+from millrace.llm.queries import op5_near_duplicates
+
+SF = "/root/testdata/sf0.001"
+
+
+def shingles(text, n):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if len(words) < n:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i: i + n]) for i in range(len(words) - n + 1)}
+
+
+def brute(rows, n, least=80):
+    """Smallest reachable key per key, every pair compared."""
+    sets = {}
+    for k, t in rows:
+        sets.setdefault(k, []).append(shingles(t, n))
+    keys, root = sorted(sets), {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i, a in enumerate(keys):
+        for b in keys[i + 1:]:
+            if any(x and y and 100 * len(x & y) >= least * len(x | y) for x in sets[a] for y in sets[b]):
+                ra, rb = sorted((find(a), find(b)))
+                root[rb] = ra
+    return {k: find(k) for k in keys}
+
+
+def corpus(seed=4):
+    """Chains of small edits, stars around a text that is not first, copies and short texts."""
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(300)]
+    rows = []
+    for _ in range(12):
+        base = [rng.choice(vocab) for _ in range(rng.choice([6, 20, 60, 200]))]
+        for _ in range(rng.randrange(1, 9)):
+            text = list(base)
+            for _ in range(max(1, len(text) // 30)):
+                text[rng.randrange(len(text))] = rng.choice(vocab)
+            rows.append(" ".join(text))
+            if rng.random() < 0.5:
+                base = text
+        rows += [rows[-1].upper(), rows[-1]]
+    rows += ["", None, " \n", "one", "ONE", "one two", "one  two", "Ä x", "ä x"]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_groups_equal_all_pairs(spark):
+    for n in (2, 5):
+        rows = corpus(n)
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        got = {r.doc_id: (r.component, r.n_shingles) for r in neardup.groups(docs, n=n).collect()}
+        want = brute(rows, n)
+        assert got == {k: (want[k], len(shingles(t, n))) for k, t in rows}
+
+
+def test_query_on_the_tables(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = op5_near_duplicates(spark, SF).collect()
+    want = brute(rows, 2)
+    assert {r.doc_id: r.component_id for r in got} == want and len(got) == len(rows)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+    assert any(not r.kept for r in got)
+
+
+def test_edge_rows(spark):
+    t = " ".join(f"a{i}" for i in range(40))
+    rows = [(3, t, "x", 1), (3, t, "x", 1), (3, "other words here now", "y", 1), (None, t, "x", 2), (5, t, None, 3),
+            (9, "other words here now", "z", None), (11, None, "q", 5), (12, "", "q", 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, size string, bands int")
+    got = sorted(((r.doc_id or -1), r.component) for r in neardup.groups(docs).collect() if r.doc_id is not None)
+    assert got == [(3, 3), (3, 3), (3, 3), (5, 3), (9, 3), (11, 11), (12, 12)]
+    assert neardup.groups(docs.limit(0)).count() == 0
+    kept = neardup.first_of_each(docs)
+    assert kept.columns[1:] == docs.columns[1:]
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 3, 3, 3, 11, 12]
+
+
+def test_bins_borrow_from_full_bins_only():
+    for size in (1, 2, 5, 100, 5000):
+        s = np.unique(np.random.default_rng(size).integers(0, 2**63, size).astype(np.uint64))
+        assert np.isin(neardup.signature(s), neardup.splitmix(s)).all()
