@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import neardup, pii, quality
+from millrace.llm import mixing, neardup, pii, quality
 from millrace.llm.tables import held_out, table
 
 
@@ -19,6 +19,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of every document; a seventh of the keys is held out of learning."""
+    apart = held_out(F.col("doc_id"), 7, 2)
+    return mixing.scores(table(spark, sf_dir, "documents"), ~apart).select(
+        "doc_id", apart.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "bits_per_byte")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with alike sets of two-word shingles."""
     found = neardup.groups(table(spark, sf_dir, "documents"), n=2, least=80)
@@ -33,6 +41,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op4_context_mixing": op4_context_mixing,
     "op5_near_duplicates": op5_near_duplicates,
     "op9_pii": op9_pii,
 }

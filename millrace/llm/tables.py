@@ -34,6 +34,6 @@ def parts_for(size: int, each: int, least: int = 1) -> int:
     return max(least, math.ceil(size / each))
 
 
-def blocks_of(docs: DataFrame, key: str, n: int) -> DataFrame:
-    """Documents with a column ``block``: a hash of the key, the same on every run."""
-    return docs.withColumn("block", F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int"))
+def blocks_of(docs: DataFrame, n: int, *columns: str) -> DataFrame:
+    """Rows with a column ``block``: a hash of the columns, the same on every run; a text in it spreads a hot key."""
+    return docs.withColumn("block", F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int"))
