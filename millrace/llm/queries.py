@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, mixing, neardup, pii, quality
+from millrace.llm import bpe, mixing, neardup, pii, quality, substrings
 from millrace.llm.tables import held_out, table
 
 
@@ -34,6 +34,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("component") == F.col("doc_id")).alias("kept"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of earlier ones, as digests."""
+    return substrings.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the text decoded from them, as digests."""
     return bpe.digest(table(spark, sf_dir, "documents"))
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op4_context_mixing": op4_context_mixing,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_substrings": op6_substrings,
     "op7_bpe": op7_bpe,
     "op9_pii": op9_pii,
 }
