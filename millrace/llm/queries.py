@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, mixing, neardup, pii, quality, substrings
+from millrace.llm import bpe, idfiles, mixing, neardup, pii, quality, substrings
 from millrace.llm.tables import held_out, table
+from millrace.session import scratch_path
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +50,13 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document written in order to compressed files and read back."""
+    path = scratch_path(spark, "ids")
+    idfiles.write(table(spark, sf_dir, "documents"), path, end_id=2)
+    return idfiles.read(spark, path, ids=False).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op4_context_mixing": op4_context_mixing,
@@ -56,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substrings": op6_substrings,
     "op7_bpe": op7_bpe,
     "op9_pii": op9_pii,
+    "op10_id_files": op10_id_files,
 }
 
 #: Queries without an entry are held against brute-force versions in tests/llm.
