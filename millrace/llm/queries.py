@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, idfiles, mixing, neardup, pii, quality, substrings
+from millrace.llm import bpe, idfiles, mixing, nearest, neardup, pii, quality, substrings
 from millrace.llm.tables import held_out, table
 from millrace.session import scratch_path
 
@@ -20,6 +20,27 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+OP3_SQL = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
+), ranked AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_distance(q.v, c.v) AS score,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.v, c.v), c.vec_id) AS place
+  FROM usable q JOIN usable c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
+"""
+
+
 def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of every document; a seventh of the keys is held out of learning."""
     apart = held_out(F.col("doc_id"), 7, 2)
@@ -59,6 +80,7 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op3_nearest": op3_nearest,
     "op4_context_mixing": op4_context_mixing,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_substrings": op6_substrings,
@@ -68,4 +90,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Queries without an entry are held against brute-force versions in tests/llm.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_nearest": OP3_SQL}
