@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, idfiles, mixing, nearest, neardup, pii, quality, substrings
+from millrace.llm import bpe, idfiles, mixing, nearest, neardup, perplexity, pii, quality, sourcemix, substrings
 from millrace.llm.tables import held_out, table
 from millrace.session import scratch_path
 
@@ -20,6 +20,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word and line counts of every document, and whether it passes them and its language's perplexity band."""
+    return perplexity.judged(table(spark, sf_dir, "documents"))
+
+
 def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth."""
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
@@ -32,12 +37,14 @@ WITH usable AS (
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
     AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), ranked AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_distance(q.v, c.v) AS score,
-    row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.v, c.v), c.vec_id) AS place
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    sqrt(list_sum([(q.v[i] - c.v[i]) * (q.v[i] - c.v[i]) FOR i IN range(1, len(q.v) + 1)])) AS score
   FROM usable q JOIN usable c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
   WHERE q.vec_id % 100 = 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS place FROM ranked
 )
-SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM placed WHERE place <= 10
 """
 
 
@@ -66,6 +73,16 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"))
 
 
+#: Wanted shares of all tokens.
+TARGETS = {"quality=1,toxic=0": 0.96, "quality=1,toxic=1": 0.03, "quality=0,toxic=0": 0.005, "quality=0,toxic=1": 0.005}
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate and copies of every document under the wanted shares."""
+    return sourcemix.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["quality", "toxic"],
+                           TARGETS)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.digest(table(spark, sf_dir, "documents"))
@@ -80,11 +97,13 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_perplexity": op2_perplexity,
     "op3_nearest": op3_nearest,
     "op4_context_mixing": op4_context_mixing,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_substrings": op6_substrings,
     "op7_bpe": op7_bpe,
+    "op8_source_mix": op8_source_mix,
     "op9_pii": op9_pii,
     "op10_id_files": op10_id_files,
 }
