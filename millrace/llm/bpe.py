@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import blocks_of, parts_for, text_bytes
+from millrace.llm import lookups
+from millrace.llm.tables import parts_for, text_bytes
 from millrace.llm.texts import BYTE_HASH, SEPARATOR, Texts, U, binary
 
 #: Pieces that a worker remembers; beyond that it starts over with those at hand.
@@ -268,8 +269,18 @@ def assemble(texts: Texts, known: dict[int, np.ndarray], enc: Encoder) -> list[n
     return [np.concatenate([none, *(ids[at[p]: at[p + 1]] if isinstance(p, int) else p for p in out)]) for out in kept]
 
 
+def _packed(ids: np.ndarray) -> bytes:
+    """Ids in two bytes each where they fit, else in four; the first byte tells."""
+    small = not len(ids) or ids.max() < 1 << 16
+    return b"\2" + ids.astype("<u2").tobytes() if small else b"\4" + ids.astype("<u4").tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1).astype(np.uint32)
+
+
 def _keys_of(group: pa.Table) -> pa.Table:
-    texts = Texts.of(group.column("text"))
+    texts = lookups.texts_of(group)
     starts, ends, _ = chunks(texts)
     keys, count = np.unique(texts.hashes(starts, ends), return_counts=True)
     block = group.column("block")[0].as_py()
@@ -288,19 +299,19 @@ def encode(docs: DataFrame, finish: Callable[[Encoder, list[np.ndarray]], dict[s
     """
     rows = docs.select(F.struct(*keep).alias("kept"), F.col(text).alias("text"))
     n = parts_for(text_bytes(rows), block_bytes)
-    blocked = blocks_of(rows, n, "kept", "text").repartition(n, "block")
+    blocked = lookups.dealt(rows, n, "kept", "text")
     held = blocked.groupBy("block").applyInArrow(_keys_of, "chunk bigint, block int, n bigint")
     shared = held.groupBy("chunk").agg(F.min("block").alias("block"), F.sum("n").alias("n")).filter("n > 1").drop("n")
 
     def encode_own(group: pa.Table, own: pa.Table) -> pa.Table:
-        texts = Texts.of(group.column("text"))
+        texts = lookups.texts_of(group)
         starts, ends, _ = chunks(texts)
         keys, one = np.unique(texts.hashes(starts, ends).view(np.int64), return_index=True)
         mine = one[np.searchsorted(keys, own.column("chunk").to_numpy())] if len(own) else one[:0]
         raw = texts.data.tobytes()
         ids, at = encoder(path).encode(Texts.from_list([raw[starts[i]: ends[i]] for i in mine]))
         return pa.Table.from_arrays(
-            [own.column("chunk"), binary([ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)])],
+            [own.column("chunk"), binary([_packed(ids[a:b]) for a, b in zip(at, at[1:], strict=False)])],
             names=["chunk", "ids"])
 
     coded = blocked.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
@@ -308,10 +319,10 @@ def encode(docs: DataFrame, finish: Callable[[Encoder, list[np.ndarray]], dict[s
     sent = held.select("chunk", "block").join(coded, "chunk")
 
     def finish_block(group: pa.Table, got: pa.Table) -> pa.Table:
-        known = {k & 0xFFFFFFFFFFFFFFFF: np.frombuffer(v.as_buffer(), np.uint32)
+        known = {k & 0xFFFFFFFFFFFFFFFF: _unpacked(v.as_py())
                  for k, v in zip(got.column("chunk").to_pylist(), got.column("ids"), strict=True)}
         enc = encoder(path)
-        made = finish(enc, assemble(Texts.of(group.column("text")), known, enc))
+        made = finish(enc, assemble(lookups.texts_of(group), known, enc))
         kept = group.column("kept").combine_chunks()
         return pa.Table.from_arrays([*kept.flatten(), *made.values()], names=[*keep, *made])
 

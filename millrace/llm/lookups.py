@@ -7,19 +7,42 @@ the driver. Both blocks and shards grow in number with the input and stay bounde
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from millrace.llm.texts import U, binary
+from millrace.llm.tables import blocks_of
+from millrace.llm.texts import Texts, U, binary
 
 BLOCK_BYTES = 8 << 20
 
 ASKS = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
+def dealt(rows: DataFrame, n: int, *columns: str) -> DataFrame:
+    """Rows in ``n`` blocks by a hash of the columns, with ``block`` and the column ``text`` packed for the shuffle."""
+    blocked = blocks_of(rows, n, *columns)
+    place = blocked.columns.index("text")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column(place).cast(pa.large_binary())
+            packed = binary([zlib.compress(t.as_buffer() or b"", 1) for t in raw])
+            yield pa.RecordBatch.from_arrays(
+                [packed if i == place else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+
+    kinds = [f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in blocked.schema]
+    return blocked.mapInArrow(pack, ", ".join(kinds)).repartition(n, "block")
+
+
+def texts_of(group: pa.Table) -> Texts:
+    """The texts of a block."""
+    return Texts.from_list([zlib.decompress(t.as_buffer()) for t in group.column("text")])
+
+
 def by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, slice]]:
     """The slices of sorted keys that belong to each shard, empty ones left out."""
     shard = ((keys >> U(32)) * U(shards)) >> U(32)

@@ -7,11 +7,11 @@ are linked if their sets' Jaccard similarity is ``least`` or more; each link is
 1. Documents with equal sets become one class; the smallest key stands for it. Nothing later sees its copies.
 2. One hash of each shingle picks its bin; a bin keeps its least hash, an empty bin borrows from the first full one in
    its own random order of bins. Bands of bins are bucket keys.
-3. A bucket offers each member with the bucket's smallest and its largest key: two stars, not all pairs.
-4. Confirmed stars give components. What a star cannot see, a link between two members that are both unlike the
-   centres, is found in a second pass: buckets that still hold several components offer each member outside the
-   largest of them with the members of the other components. So no candidate pair of a bucket is lost, and no pair is
-   built inside a component.
+3. A bucket offers each member with the bucket's smallest key: a star, not all pairs. Confirmed stars give components.
+   Buckets that still hold several offer the members outside the largest with ``STARS`` drawn members of it.
+4. What no star can see, a link between two members that are both unlike the centres, is found last: buckets that
+   still hold several components offer each member outside the largest with the members of the other components. So
+   no candidate pair of a bucket is lost, and no pair is built inside a component.
 5. Components of all confirmed links are found by rounds of pointing to the least neighbour, each written to the shared
    folder.
 
@@ -34,6 +34,7 @@ from millrace.llm.texts import Texts, U, binary, sequence_hash, splitmix, window
 
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
+STARS = 4
 _SLICE = 1 << 21
 
 
@@ -105,8 +106,8 @@ def sketches(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     return docs.select(key, text).mapInArrow(rows, f"id {kind}, size bigint, print binary, bands array<bigint>")
 
 
-def _sets_of(docs: DataFrame, pairs: DataFrame, classes: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """id, shingles (packed): the sets of the classes in ``pairs``, each made from one of its texts."""
+def _sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, n: int) -> DataFrame:
+    """id, shingles (packed): the sets of the wanted classes (id, print), each made from one of its texts."""
     kind = docs.schema[key].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,8 +117,6 @@ def _sets_of(docs: DataFrame, pairs: DataFrame, classes: DataFrame, key: str, te
                 [batch.column(0), binary([_print(s) for s in sets]), binary([s.tobytes() for s in sets])],
                 names=["id", "print", "shingles"])
 
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(
-        classes.select("id", "print"), "id")
     few = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
     made = few.mapInArrow(rows, f"id {kind}, print binary, shingles binary")
     # Rows that repeat a key may hold other sets, or the same set again.
@@ -141,7 +140,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
-    return both.mapInArrow(rows, f"a {kind}, b {kind}").distinct()
+    return materialize(both.mapInArrow(rows, f"a {kind}, b {kind}"), "confirmed")
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -174,6 +173,37 @@ def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after more links; only the roots that these touch are worked on."""
+    def root_of(c: str) -> DataFrame:
+        return roots.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}"))
+
+    joins = links.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(
+        "a", "b", F.coalesce("root_a", "a").alias("x"), F.coalesce("root_b", "b").alias("y"))
+    joins = materialize(joins, "joins")
+    moved = components(joins.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    ids = joins.select(F.col("a").alias("id"), F.col("x").alias("root")).union(joins.select("b", "y"))
+    return materialize(roots.union(ids).distinct().join(
+        moved.select(F.col("id").alias("root"), F.col("root").alias("to")), "root", "left").select(
+        "id", F.coalesce("to", "root").alias("root")), "merged")
+
+
+def _mixed(crowded: DataFrame, roots: DataFrame) -> DataFrame:
+    """bucket, id, size, root, main: the members of buckets with several components, and the largest of these."""
+    placed = crowded.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    kinds = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    main = kinds.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"),
+                                       F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds")
+    return materialize(placed.join(main, "bucket"), "mixed")
+
+
+def _across(members: DataFrame, others: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b) of a member and one of ``others`` (bucket, other, other_size, other_root) of another component."""
+    return members.join(others, "bucket").filter(
+        (F.col("other_root") != F.col("root")) & _fits(F.col("other_size"), F.col("size"), least)).select(
+        *_ordered("other", "id")).distinct()
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, least: int = 80) -> DataFrame:
     """key, n_shingles and component (the smallest key of the group) for every row of ``docs``."""
     rows = materialize(sketches(docs, key, text, n), "sketches")
@@ -182,39 +212,35 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5,
     classes = materialize(full.groupBy("print").agg(
         F.min("id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands")), "classes")
     member = classes.select("id", "size", F.explode("bands").alias("bucket"))
-    star = member.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min("id").alias("low"), F.min_by("size", "id").alias("low_size"),
-        F.max("id").alias("high"), F.max_by("size", "id").alias("high_size")).filter("n > 1").drop("n")
+    star = member.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("low"),
+                                        F.min_by("size", "id").alias("low_size")).filter("n > 1").drop("n")
     crowded = materialize(member.join(star, "bucket"), "buckets")
-    offered = [crowded.filter(_fits(F.col(f"{c}_size"), F.col("size"), least)).select(*_ordered(c, "id"))
-               for c in ("low", "high")]
-    pairs = materialize(offered[0].union(offered[1]).filter("a <> b").distinct(), "pairs")
-    links = materialize(confirmed(pairs, _sets_of(docs, pairs, classes, key, text, n), least), "confirmed")
+    wanted = crowded.select("id").distinct().join(classes.select("id", "print"), "id")
+    sets = _sets_of(docs, wanted, key, text, n)
 
+    # First the star around each bucket's smallest key.
+    pairs = materialize(crowded.filter((F.col("low") != F.col("id")) & _fits(F.col("low_size"), F.col("size"), least))
+                        .select(*_ordered("low", "id")).distinct(), "pairs")
     # A key with several sets joins their classes.
     named = rows.select("id", "size", "print").join(classes.select("print", F.col("id").alias("class")), "print", "left")
     several = named.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("hi")).filter("a < hi")
-    same_key = named.join(several, "id").filter("class <> a").select("a", F.col("class").alias("b")).distinct()
-    links = links.unionByName(same_key)
-    roots = components(links)
-
-    # Second pass: what is left between the components that share a bucket.
-    placed = crowded.select("bucket", "id", "size").join(roots, "id", "left").withColumn(
-        "root", F.coalesce("root", "id"))
-    kinds = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    main = kinds.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"),
-                                       F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds")
-    mixed = materialize(placed.join(main, "bucket"), "mixed")
-    outside = mixed.filter("root <> main").select(
-        "bucket", F.col("id").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
-    rest = outside.join(mixed, "bucket").filter(
-        (F.col("other_root") != F.col("root")) & _fits(F.col("other_size"), F.col("size"), least)).select(
-        *_ordered("other", "id")).distinct().join(pairs, ["a", "b"], "left_anti")
-    rest = materialize(rest, "rest")
-    if not rest.isEmpty():
-        more = materialize(confirmed(rest, _sets_of(docs, rest, classes, key, text, n), least), "confirmed")
-        if not more.isEmpty():
-            roots = components(links.unionByName(more))
+    same_key = named.join(several, "id").filter("class <> a").select("a", F.col("class").alias("b"))
+    roots = components(confirmed(pairs, sets, least).union(same_key))
+
+    # Then stars around some of the largest component, drawn anew in each bucket, for those still outside it.
+    crowded = crowded.select("bucket", "id", "size")
+    mixed = _mixed(crowded, roots)
+    draws = [F.min(F.when(F.col("root") == F.col("main"), F.struct(F.xxhash64("bucket", "id", F.lit(k)), *[
+        F.col(c).alias(f"other{to}") for c, to in (("id", ""), ("size", "_size"), ("root", "_root"))]))) for k in range(STARS)]
+    drawn = mixed.groupBy("bucket").agg(F.array(*draws).alias("drawn")).select(
+        "bucket", F.explode("drawn").alias("one")).select("bucket", "one.other", "one.other_size", "one.other_root")
+    roots = _merged(roots, confirmed(_across(mixed, drawn, least), sets, least))
+
+    # What is left: members outside the largest component against all of other components.
+    mixed = _mixed(crowded, roots)
+    outside = mixed.filter("root <> main").select("bucket", F.col("id").alias("other"), F.col("size").alias("other_size"),
+                                                  F.col("root").alias("other_root"))
+    roots = _merged(roots, confirmed(_across(mixed, outside, least), sets, least))
 
     return named.join(roots.withColumnRenamed("id", "class"), "class", "left").select(
         F.col("id").alias(key), F.col("size").alias("n_shingles"),

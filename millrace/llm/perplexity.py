@@ -9,7 +9,7 @@ the same result.
 
 A text passes if its mean negative log-probability per byte lies in its language's band: the median, less or plus
 ``REACH`` times the distance of the lower or upper quartile, at least ``LEAST_REACH``, among the texts that pass the base
-rules. Quartiles come from counts over all texts, not from samples.
+rules, and an allowance for short texts. Quartiles come from counts over all texts, not from samples.
 
 A null language is a language of its own. Null and empty texts have no words, fail the base rules and have no
 perplexity. Repeated rows are judged one by one; an empty table gives an empty result; columns other than key, text and
@@ -31,7 +31,9 @@ from millrace.llm.tables import materialize, parts_for, text_bytes
 from millrace.llm.texts import SEPARATOR, Texts, U, splitmix, windows
 
 ORDER = 4
-REACH, LEAST_REACH = 6.0, 0.12
+REACH, LEAST_REACH = 6.0, 0.08
+#: A mean over n bytes strays: the band is wider by this over the root of n on both sides.
+STRAY = 2.0
 #: Rows of the model that every task may hold, at 12 bytes each.
 MOST_ROWS = 8_000_000
 _SLICE = 1 << 21
@@ -248,7 +250,8 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     found = materialize(described(docs, key, text, lang, most_rows), "described")
     limits = bands(found, reach, least_reach).withColumnRenamed("lang", "of")
     nats = F.try_divide(-F.col("logp"), "n_bytes")
-    within = (nats >= F.col("low")) & (nats <= F.col("high"))
+    stray = F.try_divide(F.lit(STRAY), F.sqrt("n_bytes"))
+    within = (nats >= F.col("low") - stray) & (nats <= F.col("high") + stray)
     return found.join(limits, F.col("lang").eqNullSafe(F.col("of")), "left").select(
         F.col("id").alias(key), *STATS, base_failed().alias("base_failed"),
         (~base_failed() & F.coalesce(within, F.lit(False))).alias("kept"), F.exp(nats).alias("perplexity"))

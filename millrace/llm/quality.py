@@ -4,8 +4,8 @@ Bytes are embedded; filters of eight bytes slide over the whole text in steps of
 bytes that overlap by half; each filter is max-pooled per chunk. The mean and the maximum over all chunks and the
 length in bytes pass a hidden layer and give one probability. Only the text's bytes enter it.
 
-The network is fitted by Adam on a bounded sample: the ``per_class`` first rows of each label in hash order of the
-key, of texts up to ``longest`` bytes. Scoring covers all texts in full. Null and empty texts have one chunk of
+The network is fitted by Adam on a bounded sample: the texts, up to ``longest`` bytes each, of the ``per_class`` first
+rows of each label in hash order of the key. Scoring covers all texts in full. Null and empty texts have one chunk of
 padding and get its score. Without labels every score is 0.5. Equal texts get equal scores; an empty table gives an
 empty result; columns other than the named ones are not touched.
 """
@@ -147,13 +147,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, key: st
     rows = labels.select(F.col(key), F.col(label).cast("int").alias("_label")).filter(F.col("_label").isin(0, 1))
     if learn is not None:
         rows = rows.filter(learn)
-    some = docs.select(F.col(key), F.col(text).alias("_text")).filter(F.octet_length("_text") <= longest)
-    known = some.join(rows, key)
-    sample = None
+    chosen = None
     for value in (0, 1):
-        part = known.filter(F.col("_label") == value).orderBy(F.xxhash64(key), "_text").limit(per_class)
-        sample = part if sample is None else sample.unionByName(part)
-    found = sample.select("_text", "_label").toArrow()
+        part = rows.filter((F.col("_label") == value) & F.col(key).isNotNull()).orderBy(
+            F.xxhash64(key), key).limit(per_class)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    # At most 2 * per_class keys, so the texts need no shuffle.
+    found = docs.select(F.col(key), F.col(text).alias("_text")).filter(F.octet_length("_text") <= longest).join(
+        F.broadcast(chosen), key).select("_text", "_label").toArrow()
     texts = [t.encode() for t in found.column("_text").to_pylist()]
     if not texts:
         return Network({}, known=False)

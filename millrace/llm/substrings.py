@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import lookups
-from millrace.llm.tables import blocks_of, parts_for, text_bytes
+from millrace.llm.tables import parts_for, text_bytes
 from millrace.llm.texts import Texts, U, binary, splitmix
 
 LENGTH, GRAM = 50, 18
@@ -74,7 +74,7 @@ def anchors(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 def _ordered(group: pa.Table) -> tuple[Texts, np.ndarray, np.ndarray]:
     """A block's texts by key, then text; their keys; and the order taken. The same whenever the block is read."""
-    texts = Texts.of(group.column("text"))
+    texts = lookups.texts_of(group)
     keys = group.column("key").combine_chunks().fill_null(_NULL).to_numpy()
     prints = texts.hashes(texts.offsets[:-1], texts.offsets[1:])
     order = np.lexsort((prints, keys))
@@ -220,7 +220,7 @@ def spans(docs: DataFrame, finish: Callable[[Texts, list[np.ndarray]], dict[str,
     """The key and what ``finish`` makes of each block's texts and their removed runs (start, end)."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     n = parts_for(text_bytes(rows), block_bytes)
-    blocked = blocks_of(rows, n, "key", "text").repartition(n, "block")
+    blocked = lookups.dealt(rows, n, "key", "text")
     cuts = splitters(rows, n)
 
     def keys_of(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
