@@ -28,6 +28,8 @@ from millrace.llm.tables import materialize
 SAMPLE_ROWS, VOCABULARY = 20_000, 200
 #: Documents of the common kind that each domain is thought to hold besides its own.
 SHRINK = 8.0
+#: A feature's share in some domain is at least this many times the common share, or that much less.
+LEAST_RATIO = 1.6
 #: Descent: steps, momentum and pull of the weights towards 0.
 STEPS, MOMENTUM, DECAY = 25, 0.9, 1.0
 _SEPARATORS = "[ \\t-\\r]+"
@@ -110,7 +112,10 @@ def fit(docs: DataFrame, labels: DataFrame, names: list[str], key: str = "doc_id
     # How much the feature tells about the domain of a document.
     told = sum((s * F.log(s / mean) + (1 - s) * F.log((1 - s) / (1 - mean))) * sizes[d]
                for s, d in zip(share, order, strict=True))
-    best = counts.filter(sum(F.col(str(i)) for i in range(len(order))) >= 5).orderBy(F.desc(told), "word").limit(
+    # Words that are near as frequent everywhere say more of a text's length than of its domain.
+    far = F.greatest(*[F.abs(F.log(s / mean)) for s in share], F.lit(0.0))
+    often = sum(F.col(str(i)) for i in range(len(order))) >= 5
+    best = counts.filter(often & (far > math.log(LEAST_RATIO))).orderBy(F.desc(told), "word").limit(
         vocabulary).select("word")
     words = [r["word"] for r in best.collect()]
     listed = F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")
