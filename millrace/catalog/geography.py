@@ -117,7 +117,7 @@ def zone_activity(v, spark):
     last_ as (
         select user_id, lat, lon, ts, zone_id from (
             select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
-            from near) x where rn = 1),
+            from near where event_type = 'message') x where rn = 1),
     subs as (select distinct channel, user_id from near where event_type = 'subscription'),
     pairs as (
         select distinct a.user_id as user_left, b.user_id as user_right

@@ -1,8 +1,9 @@
 """Slowly changing dimensions with full history, without MERGE.
 
 A dimension holds key, attributes, ``effective_from``, ``effective_to`` and ``deleted`` (0/1). At most
-one version of a key is open (ends 2999-12-31). Closed versions are history: they pass through by
-union and never take part in a join.
+one version of a key is open (ends 2999-12-31); a second one is an error. Closed versions, those without
+an end and those without a key are history: they pass through by union and never take part in a join.
+Staged states without a key are no states.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.values import changed
 from millrace.operators.joins import OPEN_END
+from millrace.operators.ranking import numbered
 
 FROM, TO, DELETED = "effective_from", "effective_to", "deleted"
 
@@ -38,33 +40,36 @@ def _merge(
 ) -> DataFrame:
     ts_type = dim.schema[TO].dataType
     never = F.lit(OPEN_END).cast(ts_type)
-    is_open = F.col(TO) == never
+    is_open = F.coalesce(F.col(TO) == never, F.lit(False)) & F.col(key).isNotNull()
     history = dim.filter(~is_open)
     # Open versions, staged states and present keys meet in one grouping, hence in one shuffle.
     parts = [
         dim.filter(is_open).select(key, F.struct(*attrs, *carry, FROM, DELETED).alias("o"))
     ]
-    collect = [F.first("o", ignorenulls=True).alias("o")]
+    collect = [F.first("o", ignorenulls=True).alias("o"), F.count("o").alias("_open")]
     if stg is not None:
         moved = F.coalesce(F.col(update), F.col(create)).cast(ts_type)
         state = F.struct(*[F.col(a).cast(dim.schema[a].dataType).alias(a) for a in attrs],
                          moved.alias("_from"))
         parts.append(
-            stg.select(F.col(key).cast(dim.schema[key].dataType).alias(key), state.alias("n"))
+            stg.filter(F.col(key).isNotNull()).select(
+                F.col(key).cast(dim.schema[key].dataType).alias(key), state.alias("n")
+            )
         )
         collect.append(
             F.max_by("n", F.struct("n._from", *[f"n.{a}" for a in attrs])).alias("n")
         )
     if slice_keys is not None:
         parts.append(
-            slice_keys.select(
+            slice_keys.filter(F.col(key).isNotNull()).select(
                 F.col(key).cast(dim.schema[key].dataType).alias(key), F.lit(True).alias("_kept")
             )
         )
         collect.append(F.max("_kept").alias("_kept"))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     both = both.groupBy(key).agg(*collect)
-    has_o = F.col("o").isNotNull()
+    twice = F.concat(F.lit("several open versions of key "), F.col(key).cast("string"))
+    has_o = F.when(F.col("_open") > 1, F.raise_error(twice).cast("boolean")).otherwise(F.col("_open") == 1)
     takes = F.lit(False)
     attr_of = {a: F.col(f"o.{a}") for a in attrs}
     new_from = close_at = F.lit(None).cast(ts_type)
@@ -122,6 +127,20 @@ def _merge(
     return history.select(*cols).unionByName(rows.select(*cols))
 
 
+def fill_surrogates(dim: DataFrame, key: str, name: str) -> DataFrame:
+    """Numbers for keys that have none yet, after the greatest one given, in key order.
+
+    All versions of a key share its number. Only new keys are numbered, by a distributed sort.
+    """
+    missing = dim.filter(F.col(name).isNull() & F.col(key).isNotNull()).select(key).distinct()
+    own = dim.filter(F.col(name).isNotNull()).groupBy(key).agg(F.max(name).alias("_own"))
+    listed, _ = numbered(missing.join(own, key, "left_anti"), "_no", key)
+    top = dim.agg(F.coalesce(F.max(name), F.lit(0)).cast("bigint")).first()[0]
+    kind = dim.schema[name].dataType
+    found = own.unionByName(listed.select(key, (F.col("_no") + top + 1).cast(kind).alias("_own")))
+    return dim.join(found, key, "left").withColumn(name, F.coalesce(name, "_own")).select(*dim.columns)
+
+
 def scd2_new(dim, stg, key: str, attrs: Sequence[str], **names) -> DataFrame:
     """Open a version for staged keys that have no live one."""
     return _merge(dim, stg, None, None, key, attrs, True, False, **names)
@@ -142,7 +161,8 @@ def scd2_apply(
 ) -> DataFrame:
     """Insert, change and delete in one pass: one shuffle of the open versions.
 
-    ``carry`` names columns, such as a surrogate key, that new versions take over from the open one.
+    ``carry`` names columns, such as a surrogate key, that new versions take over from the open one;
+    ``fill_surrogates`` numbers the new members.
     Several staged states of a key count as their latest.
     """
     return _merge(dim, stg, key_slice, now, key, attrs, True, True, **names)

@@ -32,9 +32,9 @@ def card_holders(accounts: DataFrame, clients: DataFrame, cards: DataFrame) -> D
     )
 
 
-def _since(report_from: str | None):
+def _since(report_from: str | None, before: str = "0 seconds"):
     return F.lit(True) if report_from is None else (
-        F.col("trans_date") >= F.lit(report_from).cast("timestamp_ntz")
+        F.col("trans_date") >= F.lit(report_from).cast("timestamp_ntz") - F.expr(f"INTERVAL {before}")
     )
 
 
@@ -82,8 +82,9 @@ def fraud_city_hop(
 ) -> DataFrame:
     """Operations followed within ``within`` by one of the same client in another city."""
     place = current(terminals).select("terminal", F.col("terminal_city").alias("city"))
+    # Only later operations are looked at, so earlier ones need not enter the window.
     line = (
-        _operations(txns, people)
+        _operations(txns.filter(_since(report_from)), people)
         .join(place, "terminal", "left")
         .select("client_id", "card_num", "trans_date", "trans_id", "city")
         .withColumn("_chunk", time_chunk("trans_date", chunk))
@@ -95,7 +96,6 @@ def fraud_city_hop(
     hits = near.filter(
         (F.col("city") != F.col("next_city"))
         & (F.col("next_dt") - F.col("trans_date") <= F.expr(f"INTERVAL {within}"))
-        & _since(report_from)
     )
     return _report(hits.drop("client_id").join(people, "card_num"), 3).distinct()
 
@@ -105,8 +105,9 @@ def fraud_amount_probe(
     within: str = "20 minutes", chunk: str = "hour",
 ) -> DataFrame:
     """Three rejected operations with falling amounts, then a smaller successful one: that one."""
+    # Operations more than ``within`` before the first reported day cannot belong to a hit.
     line = (
-        _operations(txns, people)
+        _operations(txns.filter(_since(report_from, within)), people)
         .select("client_id", "card_num", "trans_date", "trans_id", "amt", "oper_result")
         .withColumn("_chunk", time_chunk("trans_date", chunk))
         .withColumn("op", F.struct("trans_date", "amt", "oper_result"))

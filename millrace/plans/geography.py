@@ -117,10 +117,15 @@ def zone_activity(events: DataFrame, cities: DataFrame, chunk: str = "hour") ->
 def friend_candidates(
     events: DataFrame, cities: DataFrame, now: str, radius_km: float = 1.0, block: int = 2000
 ) -> DataFrame:
-    """Pairs of users in one channel, at most ``radius_km`` apart, who never wrote to each other."""
+    """Pairs of users in one channel, at most ``radius_km`` apart, who never wrote to each other.
+
+    A user stands where the last message was sent from. Every pair of a crowded place is a row, as the
+    mart asks for pairs.
+    """
     rows = flat(events)
+    sent = F.col("event_type") == "message"
     last = (
-        rows.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+        rows.filter(sent & F.col("lat").isNotNull() & F.col("lon").isNotNull())
         .groupBy("user_id")
         .agg(F.max_by(F.struct("lat", "lon", "ts"), F.struct("ts", "event_id")).alias("_l"))
         .select("user_id", "_l.*")

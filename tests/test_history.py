@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.operators.scd2 import scd2_apply, scd2_change, scd2_delete, scd2_new
+from millrace.operators.scd2 import fill_surrogates, scd2_apply, scd2_change, scd2_delete, scd2_new
 from millrace.operators.upsert import advance, insert_if_absent, resolve_until, upsert
 from millrace.sources.scans import cursor_batch
 
@@ -115,6 +115,32 @@ def test_changed_and_deleted_at_once_and_many_states(spark):
     ]
 
 
+def test_rows_without_end_or_key_stay(spark):
+    old = "2023-01-01 00:00:00"
+    d = dim(spark, [(1, "a", 1, 1, old, None, 0), (None, "n", 1, 2, old, END, 0), (None, "m", 1, 3, old, END, 0),
+                    (4, "a", 1, 4, old, END, 0)])
+    s = stg(spark, [(None, "x", 9, "2024-01-01 00:00:00", None), (4, "b", 1, "2024-01-01 00:00:00", None)])
+    got = scd2_apply(d, s, keys(spark, [4, None]), NOW, "id", ["v", "w"], carry=["no"]).collect()
+    assert sorted((str(r["id"]), r["v"], r["no"]) for r in got) == [
+        ("1", "a", 1), ("4", "a", 4), ("4", "b", 4), ("None", "m", 3), ("None", "n", 2)]
+
+
+def test_second_open_version_is_an_error(spark):
+    old = "2023-01-01 00:00:00"
+    d = dim(spark, [(1, "a", 1, 1, old, END, 0), (1, "b", 1, 1, old, END, 0)])
+    with pytest.raises(Exception, match="several open versions of key 1"):
+        scd2_delete(d, keys(spark, [1]), NOW, "id", ["v", "w"]).collect()
+
+
+def test_new_members_get_numbers(spark):
+    old = "2023-01-01 00:00:00"
+    d = dim(spark, [(1, "a", 1, 7, old, END, 0)])
+    s = stg(spark, [(i, "x", 9, "2024-01-01 00:00:00", None) for i in (9, 5, 1)])
+    got = fill_surrogates(scd2_apply(d, s, keys(spark, [1, 5, 9]), NOW, "id", ["v", "w"], carry=["no"]), "id", "no")
+    assert sorted((r["id"], r["v"], r["no"]) for r in got.collect()) == [
+        (1, "a", 7), (1, "x", 7), (5, "x", 8), (9, "x", 9)]
+
+
 def test_upsert_and_insert_if_absent(spark):
     t = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "id int, v string, ts int")
     r = spark.createDataFrame([(2, "x", 5), (2, "y", 7), (3, "z", 1)], "id int, v string, ts int")
