@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import query
@@ -104,7 +106,9 @@ def report(v, spark):
     spread = materialize(rows, "fraud").repartition(
         "report_dt", F.pmod(F.xxhash64("passport"), F.lit(4))
     )
-    append_report(spread, path)
-    last = F.lit("2024-01-15").cast("date")
-    append_report(spread.filter(F.col("report_dt") == last), path)
+    # The first run also reports a day whose signals turn out false; the rerun of that day empties it.
+    last, false_alarm = date(2024, 1, 15), date(1999, 1, 1)
+    rerun = spread.filter(F.col("report_dt") == F.lit(last))
+    append_report(spread.unionByName(rerun.withColumn("report_dt", F.lit(false_alarm))), path)
+    append_report(rerun, path, dates=[false_alarm, last])
     return read_table(spark, path, rows)

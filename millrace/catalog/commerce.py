@@ -52,7 +52,9 @@ def rfm_segments(v, spark):
                 as double) as payment_amount, status
     from order_log""")
 def daily_sales_fact(v, spark):
-    return sales.sales_fact(v("order_log"), calendar(spark, "1990-01-01", "2009-12-31"))
+    log = v("order_log")
+    days = log.agg(F.to_date(F.min("date_time")).alias("first"), F.to_date(F.max("date_time")).alias("last")).first()
+    return sales.sales_fact(log, calendar(spark, str(days["first"]), str(days["last"])))
 
 
 @query("weekly_retention", "order_log", """

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from millrace.catalog.base import query
 from millrace.operators.quality import Rules, data_quality
-from millrace.plans import restaurants
+from millrace.plans import restaurants, snowflake
 from millrace.functions.values import decimal_comma
 from millrace.session import materialize, scratch_path
 from millrace.sources import documents, files, scans, sinks
@@ -208,6 +208,72 @@ def product_sales_fact(v, spark):
     return facts
 
 
+@query("snowflake_settlement", "", """
+    with place as (
+        select s_suppkey, s_name, row_number() over (order by cast(s_suppkey as varchar)) as id
+        from supplier where s_suppkey in (select l_suppkey from lineitem)),
+    pay as (
+        select l_orderkey, l_partkey, l_suppkey,
+               max(cast(l_extendedprice as decimal(14,2))) as total
+        from lineitem group by 1, 2, 3),
+    sums as (
+        select l_suppkey, cast(o_orderdate as date) as day, count(distinct l_orderkey) as n,
+               cast(sum(total) as double) as total, cast(count(*) as double) as granted
+        from pay join orders on o_orderkey = l_orderkey where o_orderstatus = 'F' group by 1, 2)
+    select cast(id as int) as restaurant_id, s_name as restaurant_name, day as settlement_date,
+           n as orders_count, total as orders_total_sum, 0.0::double as orders_bonus_payment_sum,
+           granted as orders_bonus_granted_sum, round(total * 0.25, 4) as order_processing_fee,
+           round(total - total * 0.25, 4) as restaurant_reward_sum
+    from sums join place on s_suppkey = l_suppkey""")
+def snowflake_settlement(v, spark):
+    lines, since = v("lineitem"), _ts("2020-01-01")
+    product = F.concat_ws("-", F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string"))
+    sold = lines.groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(
+        F.max(F.col("l_quantity").cast("int")).alias("quantity"),
+        F.max(F.col("l_extendedprice").cast("decimal(14,2)")).alias("product_cost"),
+    )
+    # A menu comes in documents of a thousand consecutive part numbers, which bounds their size.
+    item = F.struct(product.alias("_id"), product.alias("name"), F.lit("1.00").cast("decimal(14,2)").alias("price"))
+    menus = lines.select(
+        F.col("l_suppkey").cast("string").alias("_id"), F.floor(F.col("l_partkey") / 1000).alias("part"),
+        item.alias("item"),
+    ).distinct().groupBy("_id", "part").agg(F.collect_list("item").alias("menu")).drop("part")
+    named = v("supplier").select(F.col("s_suppkey").cast("string").alias("_id"), F.col("s_name").alias("name"))
+    places = documents.to_documents(
+        menus.join(named, "_id").withColumn("update_ts", since), "_id", "update_ts")
+    who = F.col("c_custkey").cast("string")
+    people = documents.to_documents(
+        v("customer").select(who.alias("_id"), F.col("c_name").alias("name"), who.alias("login"))
+        .withColumn("update_ts", since), "_id", "update_ts")
+    at = lines.groupBy("l_orderkey").agg(F.min("l_suppkey").cast("string").alias("place"))
+    bought = v("orders").join(at, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderkey").cast("string").alias("object_id"),
+        F.to_json(F.struct(
+            F.col("o_orderkey").cast("string").alias("_id"),
+            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date"),
+            F.when(F.col("o_orderstatus") == "F", "CLOSED").otherwise("CANCELLED").alias("final_status"),
+            F.struct(F.col("place").alias("id")).alias("restaurant"),
+            F.struct(F.col("o_custkey").cast("string").alias("id")).alias("user"),
+        )).alias("object_value"),
+        F.col("o_orderdate").alias("update_ts"),
+    )
+    payment = F.struct(
+        product.alias("product_id"), product.alias("product_name"), F.col("product_cost").alias("price"), "quantity",
+        "product_cost", F.lit("0.00").cast("decimal(14,2)").alias("bonus_payment"),
+        F.lit("1.00").cast("decimal(14,2)").alias("bonus_grant"),
+    )
+    # One bonus event per order, its lines in the order of their keys.
+    events = sold.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(payment)).alias("payments")).select(
+        F.col("l_orderkey").alias("id"), since.alias("event_ts"), F.lit("bonus_transaction").alias("event_type"),
+        F.to_json(F.struct(
+            F.lit("1").alias("user_id"), F.col("l_orderkey").cast("string").alias("order_id"),
+            F.lit("2020-01-01 00:00:00").alias("order_date"), F.col("payments").alias("product_payments"),
+        )).alias("event_value"),
+    )
+    tables = snowflake.load(*(materialize(d, "documents") for d in (places, people, bought, events)))
+    return snowflake.settlement(tables)
+
+
 @query("delivery_fact", "deliveries couriers", """
     select order_id, order_ts, delivery_id, courier_id, address, delivery_ts, rate,
            cast(sum as double) as sum, cast(tip_sum as double) as tip_sum,

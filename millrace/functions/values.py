@@ -40,10 +40,6 @@ def elapsed_us(start: str | Column, end: str | Column) -> Column:
     return F.unix_micros(e) - F.unix_micros(s)
 
 
-def elapsed_hours(start: str | Column, end: str | Column) -> Column:
-    return elapsed_us(start, end) / F.lit(3_600_000_000)
-
-
 def iso_year(c: str | Column) -> Column:
     return F.extract(F.lit("YEAROFWEEK"), as_col(c))
 
@@ -52,12 +48,6 @@ def iso_week(c: str | Column) -> Column:
     return F.weekofyear(as_col(c))
 
 
-def date_key(c: str | Column) -> Column:
-    """A date as the integer yyyymmdd."""
-    d = as_col(c)
-    return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
-
-
 def timestamp_parts(c: str | Column) -> dict[str, Column]:
     """Year, month, day, wall-clock time and date of a timestamp."""
     t = as_col(c)

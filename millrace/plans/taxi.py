@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.values import elapsed_hours, elapsed_us, strip_blanks
+from millrace.functions.values import elapsed_us, strip_blanks
 from millrace.operators.chunked import carried, time_chunk
 from millrace.operators.joins import current, range_first, spread_join, unseen
 from millrace.operators.scd2 import scd2_apply
