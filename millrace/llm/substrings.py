@@ -27,6 +27,7 @@ gives an empty result; columns other than key and text are not touched.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -44,6 +45,7 @@ LEFT = SPAN - 1  # bytes that may lie before an anchor in a string
 _PLACE = U(28)  # low bits that hold a place while minima slide
 _NULL = np.iinfo(np.int64).max
 SAMPLED_ROWS = 4096
+_SLICE = 1 << 20  # bytes whose grams are hashed at a time
 
 ENTRY = np.dtype([("key", "<i8"), ("row", "<u4"), ("at", "<u4"), ("low", "u1"), ("high", "u1"),
                   ("near", "u1", LEFT + LENGTH)])
@@ -52,6 +54,14 @@ MARK = np.dtype([("row", "<u4"), ("first", "<u4"), ("last", "<u4")])
 
 def anchors(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Place of each anchor, first and last start of the strings that name it, and the hash of its gram."""
+    parts = [[np.zeros(0, np.int64)] * 3 + [np.zeros(0, U)]]
+    for a, _, part in texts.slices(_SLICE):
+        *places, grams = _anchors(part)
+        parts.append([p + texts.offsets[a] for p in places] + [grams])
+    return tuple(map(np.concatenate, zip(*parts, strict=True)))
+
+
+def _anchors(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     n = len(texts.data)
     if n < LENGTH:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U),)
@@ -76,7 +86,7 @@ def _ordered(group: pa.Table) -> tuple[Texts, np.ndarray, np.ndarray]:
     """A block's texts by key, then text; their keys; and the order taken. The same whenever the block is read."""
     texts = lookups.texts_of(group)
     keys = group.column("key").combine_chunks().fill_null(_NULL).to_numpy()
-    prints = texts.hashes(texts.offsets[:-1], texts.offsets[1:])
+    prints = np.array([zlib.crc32(texts.text(i)) for i in range(len(texts))], np.int64)
     order = np.lexsort((prints, keys))
     if (np.diff(order) == 1).all():
         return texts, keys, order
@@ -173,7 +183,7 @@ def _entries(texts: Texts, keys: np.ndarray, answer: pa.Table) -> tuple[np.ndarr
     entry["near"] = near * ((reach >= LEFT - entry["low"][:, None]) &
                             (reach < LEFT + LENGTH - entry["high"][:, None].astype(np.int64)))
     # Rows are in order of their keys, so the first of equal surroundings has the smallest.
-    whole = splitmix(texts.hashes(first, last + LENGTH) + (place - first).astype(U))
+    whole = _row_hash(entry["near"], entry["low"].astype(U) << U(8) | entry["high"].astype(U))
     _, one, same = np.unique(whole, return_index=True, return_inverse=True)
     one = one[same]
     later = (entry["key"] > entry["key"][one]) & (entry["low"] == entry["low"][one]) & (
@@ -184,6 +194,15 @@ def _entries(texts: Texts, keys: np.ndarray, answer: pa.Table) -> tuple[np.ndarr
     return _joined(mark), entry[~later], grams[~later]
 
 
+def _row_hash(rows: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A hash of each row of bytes and its start value."""
+    padded = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    padded[:, : rows.shape[1]] = rows
+    for word in padded.view(U).T:
+        start = splitmix(start ^ word)
+    return start
+
+
 def _lead(near: np.ndarray) -> np.ndarray:
     """The first eight bytes of each suffix as a number."""
     return np.ascontiguousarray(near[:, LEFT: LEFT + 8]).view(">u8")[:, 0].astype(U)
@@ -195,8 +214,8 @@ def splitters(rows: DataFrame, buckets: int) -> np.ndarray:
     def leads(batches):
         for batch in batches:
             texts = Texts.of(batch.column(0))
-            for _, _, part in texts.slices(1 << 20):
-                place = anchors(part)[0][::16]
+            for _, _, part in texts.slices(_SLICE):
+                place = _anchors(part)[0][::16]
                 if len(place):
                     near = np.lib.stride_tricks.sliding_window_view(part.data, 8)[place]
                     yield pa.RecordBatch.from_arrays(
