@@ -144,8 +144,7 @@ class Encoder:
     def _slice(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts.data):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        starts = np.union1d(cuts(texts.data), texts.offsets[:-1])
-        starts = starts[starts < len(texts.data)].astype(np.int64)
+        starts = texts.with_starts(cuts(texts.data))
         ends = np.append(starts[1:], len(texts.data))
         keys, one, which = np.unique(texts.hashes(starts, ends), return_index=True, return_inverse=True)
         if len(self.keys) > MEMORY:
@@ -195,7 +194,7 @@ def chunks(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = at[(data[at] & 0xC0) != 0x80]
     owner = np.searchsorted(texts.offsets, at, "right") - 1
     at = at[at - texts.offsets[owner] >= WINDOW]
-    starts = np.union1d(at, texts.offsets[:-1][np.diff(texts.offsets) > 0]).astype(np.int64)
+    starts = texts.with_starts(at)
     return starts, np.append(starts[1:], n)[: len(starts)], np.searchsorted(starts, texts.offsets)
 
 

@@ -56,8 +56,7 @@ def base_counts(texts: Texts) -> dict[str, np.ndarray]:
     letters = ~SEPARATOR[data] & ((data & 0xC0) != 0x80)
     # Lines end at line feeds and at the text's end.
     feeds = np.flatnonzero(data == 10)
-    begin = np.union1d(feeds + 1, texts.offsets[:-1]).astype(np.int64)
-    begin = begin[begin < len(data)]
+    begin = texts.with_starts(feeds + 1)
     line_doc = np.searchsorted(texts.offsets, begin, "right") - 1
     end = np.minimum(np.append(feeds, len(data))[np.searchsorted(feeds, begin)], texts.offsets[line_doc + 1])
     full = np.searchsorted(starts, begin) < np.searchsorted(starts, end)

@@ -76,6 +76,13 @@ class Texts:
     def text(self, i: int) -> bytes:
         return self.data[self.offsets[i]: self.offsets[i + 1]].tobytes()
 
+    def with_starts(self, places: np.ndarray) -> np.ndarray:
+        """The places and the starts of all texts that are not empty, ascending and distinct."""
+        mark = np.zeros(len(self.data) + 1, bool)
+        mark[places] = True
+        mark[self.offsets[:-1]] = True
+        return np.flatnonzero(mark[:-1])
+
     def lower(self) -> Texts:
         return Texts(LOWER[self.data], self.offsets)
 
