@@ -99,8 +99,12 @@ def amount_probe(v, spark):
     "union all select * from f4",
 )
 def report(v, spark):
-    rows = bank.fraud_report(passport(v, spark), contract(v, spark), city_hop(v, spark),
-                             amount_probe(v, spark))
+    people, txns = materialize(_people(v), "holders"), v("bank_txns")
+    rows = bank.fraud_report(
+        bank.fraud_passport(txns, people, v("bank_blacklist")), bank.fraud_contract(txns, people),
+        bank.fraud_city_hop(txns, people, v("bank_terminals")),
+        bank.fraud_amount_probe(txns, people, within="3 days"),
+    )
     path = scratch_path(spark, "rep_fraud")
     # One shuffle by day keeps the files few; a busy day is spread over several tasks.
     spread = materialize(rows, "fraud").repartition(

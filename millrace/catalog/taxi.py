@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.catalog.base import query
 from millrace.catalog.history import span_sql, span_text
 from millrace.plans import taxi
+from millrace.session import materialize
 
 WAYBILLS = """
     wb as (
@@ -183,7 +184,8 @@ def client_profile(v, spark):
     from both_ where fresh""",
     "phone_num, rides_cnt, cancelled_cnt, spent_amt, debt_amt, client_id, deleted"))
 def client_profile_history(v, spark):
-    rides, payments, clients = _rides(v), v("taxi_payments"), v("taxi_clients")
+    # Both profiles start from the same rides.
+    rides, payments, clients = materialize(_rides(v), "rides"), v("taxi_payments"), v("taxi_clients")
     early = rides.filter(F.col("ride_arrival_dt") < F.lit("2024-01-20").cast("timestamp_ntz"))
     old = taxi.client_profile(early, payments, clients).filter(F.col("rides_cnt").isNotNull())
     history = old.join(clients.select("phone_num", "client_id"), "phone_num").withColumns(
