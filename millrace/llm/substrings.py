@@ -255,7 +255,7 @@ def spans(docs: DataFrame, finish: Callable[[Texts, list[np.ndarray]], dict[str,
         order = np.argsort(bucket, kind="stable")
         entry, bucket = entry[order], bucket[order]
         at = np.flatnonzero(np.diff(bucket, prepend=-1))
-        parts = [entry[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(entry)), strict=True)]
+        parts = [zlib.compress(entry[a:b].tobytes(), 1) for a, b in zip(at, np.append(at[1:], len(entry)), strict=True)]
         # Marks travel along to any bucket.
         return pa.Table.from_arrays(
             [pa.array([*bucket[at], block % (len(cuts) + 1)], pa.int32()), pa.array([block] * (len(at) + 1), pa.int32()),
@@ -273,7 +273,7 @@ def spans(docs: DataFrame, finish: Callable[[Texts, list[np.ndarray]], dict[str,
             if mark.is_valid:
                 out.setdefault(block, []).append(mark.as_py())
             else:
-                cells.append(np.frombuffer(cell.as_buffer(), ENTRY))
+                cells.append(np.frombuffer(zlib.decompress(cell.as_buffer()), ENTRY))
                 blocks.append(np.full(len(cells[-1]), block, np.int32))
         if cells:
             entry, block = np.concatenate(cells), np.concatenate(blocks)
