@@ -32,7 +32,7 @@ SHRINK = 8.0
 LEAST_RATIO = 1.6
 #: Descent: steps, momentum and pull of the weights towards 0.
 STEPS, MOMENTUM, DECAY = 25, 0.9, 1.0
-_SEPARATORS = "[ \\t-\\r]+"
+_SEPARATOR, _BETWEEN = "[\\t-\\r]", "[\\t-\\r.,;:!?]"
 
 
 def _level(name: str, share: Column, bounds: list[float]) -> Column:
@@ -48,12 +48,14 @@ def described(docs: DataFrame, text: str) -> DataFrame:
     step is a column of its own, so that no expression is worked out twice.
     """
     rows = docs.select(F.struct("*").alias("row")).select("row", F.coalesce(F.col(f"row.`{text}`"), F.lit("")).alias("body"))
-    rows = rows.select("row", "body", F.filter(F.split("body", _SEPARATORS), lambda w: w != "").alias("words"))
-    rows = rows.select("row", "body", F.size("words").alias("tokens"), F.array_distinct(F.split(F.translate(
-        F.lower(F.array_join("words", " ")), ".,;:!?", ""), " ")).alias("kinds"))
+    # Patterns of single characters and splits at a space: both are cheap on long texts.
+    plain = F.regexp_replace("body", _SEPARATOR, " ")
+    folded = F.regexp_replace(F.lower("body"), _BETWEEN, " ")
+    rows = rows.select("row", "body", F.size(F.array_remove(F.split(plain, " "), "")).alias("tokens"),
+                       F.array_distinct(F.array_remove(F.split(folded, " "), "")).alias("kinds"))
     size = F.greatest(F.length("body"), F.lit(1))
-    upper = F.length("body") - F.length(F.translate("body", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-    signs = F.length("body") - F.length(F.translate("body", "#*$%&|<>!", ""))
+    upper = F.regexp_count("body", F.lit("[A-Z]"))
+    signs = F.regexp_count("body", F.lit("[#*$%&|<>!]"))
     bands = F.array(
         _level("upper", upper / size, [0.05, 0.3]), _level("sign", signs / size, [0.005, 0.05]),
         _level("kinds", F.size("kinds") / F.greatest(F.col("tokens"), F.lit(1)), [0.1, 0.2, 0.35]),
@@ -197,19 +199,23 @@ def solve(weights: DataFrame, names: list[str], targets: dict[str, float], most:
     return steps, now.tolist(), wanted.tolist()
 
 
-def with_rates(docs: DataFrame, labels: DataFrame, names: list[str], targets: dict[str, float], key: str = "doc_id",
-               text: str = "text") -> tuple[DataFrame, list[str]]:
-    """``row`` (the whole row of ``docs``), ``tokens``, ``posterior`` and ``rate``; and the names of the domains."""
+def with_rates(docs: DataFrame, labels: DataFrame, names: list[str], targets: dict[str, float], key: str,
+               text: str, keep: list[str]) -> tuple[DataFrame, list[str]]:
+    """``row`` (the columns ``keep`` of ``docs``), ``tokens``, ``posterior`` and ``rate``; and the names of the domains.
+
+    Posteriors are worked out once, in one pass over the texts.
+    """
     domains = fit(docs, labels, names, key, text)
-    scored = domains.posterior(described(docs, text))
-    steps, _, _ = solve(materialize(scored.select("tokens", "posterior"), "posteriors"), domains.names, targets)
+    scored = materialize(domains.posterior(described(docs, text)).select(
+        F.struct(*[F.col(f"row.`{c}`").alias(c) for c in keep]).alias("row"), "tokens", "posterior"), "posteriors")
+    steps, _, _ = solve(scored.select("tokens", "posterior"), domains.names, targets)
     return scored.withColumn("rate", rate_of(F.col("posterior"), steps)), domains.names
 
 
 def rates(docs: DataFrame, labels: DataFrame, names: list[str], targets: dict[str, float], key: str = "doc_id",
           text: str = "text") -> DataFrame:
     """key, tokens, posterior (map of domain to share), rate and copies for every row of ``docs``."""
-    found, domains = with_rates(docs, labels, names, targets, key, text)
+    found, domains = with_rates(docs, labels, names, targets, key, text, [key])
     return found.select(
         F.col(f"row.`{key}`").alias(key), "tokens",
         F.map_from_arrays(F.array(*map(F.lit, domains)), "posterior").alias("posterior"), "rate",
@@ -219,7 +225,7 @@ def rates(docs: DataFrame, labels: DataFrame, names: list[str], targets: dict[st
 def mixed(docs: DataFrame, labels: DataFrame, names: list[str], targets: dict[str, float], key: str = "doc_id",
           text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, each as often as its copies."""
-    found, _ = with_rates(docs, labels, names, targets, key, text)
+    found, _ = with_rates(docs, labels, names, targets, key, text, docs.columns)
     many = found.select("row", F.explode(F.sequence(
         F.lit(0), copies(F.col("rate"), F.col(f"row.`{key}`")))).alias("nth")).filter("nth > 0")
     return many.select("row.*")
