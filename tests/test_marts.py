@@ -346,7 +346,11 @@ def test_friend_candidates(spark):
         (10, "message", 2, 1, None, *near[1], "2024-01-02 00:00:00"),  # one direction is enough
         (11, "subscription", 4, None, "ch", -31.9, 115.8, "2024-01-01 00:00:00"),  # far away
         (12, "subscription", 5, None, "other", *near[0], "2024-01-01 00:00:00"),   # other channel
+        (13, "reaction", 3, None, None, -31.9, 115.8, "2024-01-09 00:00:00"),      # no message: no place
     ]
+    # The place is where the last message was sent from.
+    places = {1: near[0], 3: near[2], 4: (-31.9, 115.8), 5: near[0]}
+    rows += [(20 + u, "message", u, 9, None, *at, "2024-01-03 00:00:00") for u, at in places.items()]
     got = geography.friend_candidates(geo(spark, rows), cities(spark), "2024-03-01 00:00:00")
     assert sorted((r["user_left"], r["user_right"]) for r in got.collect()) == [(1, 3), (2, 3)]
 
