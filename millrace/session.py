@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -42,6 +43,20 @@ def _local_dir() -> str:
     return _LOCAL["dir"]
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application; functions in tasks import it."""
+    context = spark.sparkContext
+    if _SHIPPED.get("to") == context.applicationId:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="run-"), "millrace")
+    context.addPyFile(shutil.make_archive(archive, "zip", root, "millrace"))
+    _SHIPPED["to"] = context.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
