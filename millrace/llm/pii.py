@@ -1,8 +1,8 @@
 """Personal data: patterns propose spans, checksums confirm them, context words move their score.
 
 Kinds with a fixed meaning (``BASE``): ``email``, ``ip`` (each part at most 255), ``card`` (13 to 19 digits passing
-Luhn) and ``phone`` (``+`` and 9 to 15 digits). Their confirmed spans always stay. The further kinds ``iban`` (mod-97)
-and ``ssn`` (three groups of digits) stay if their score reaches the threshold and no base span overlaps them.
+Luhn) and ``phone`` (``+`` and 9 to 15 digits). Their confirmed spans always stay. The further kinds ``iban`` (length
+of its country, mod-97) and ``ssn`` (three groups of digits) stay if their score reaches the threshold and no base span overlaps them.
 
 Every proposal is made in time linear in the text, also on very long runs of digits or letters. Null and empty texts
 have no spans; repeated rows are judged one by one; an empty table gives an empty result. Offsets are code points, end
@@ -47,6 +47,14 @@ _DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Characters of an IBAN by country (ISO 13616).
+_IBAN_SIZE = {code[:2]: int(code[2:]) for code in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 "
+    "FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 "
+    "LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 "
+    "RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_REST = {n: re.compile(f"(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in set(_IBAN_SIZE.values())}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _WORD = re.compile(r"[a-z]+")
 
@@ -110,9 +118,17 @@ def phones(text: str) -> Iterator[Span]:
 
 
 def ibans(text: str) -> Iterator[Span]:
-    for run in _IBAN.finditer(text):
-        if mod97(run.group()):
-            yield "iban", run.start(), run.end()
+    """Codes of their country's length, whatever follows them, then other whole runs of groups that pass mod-97."""
+    heads, found = [*_IBAN_HEAD.finditer(text)], [(0, 0)]
+    for head in heads:
+        size = _IBAN_SIZE.get(head.group()[:2])
+        run = _IBAN_REST[size].match(text, head.end()) if size and head.start() >= found[-1][1] else None
+        if run and mod97(text[head.start(): run.end()]):
+            found.append((head.start(), run.end()))
+    others = [run.span() for (_, a), (b, _) in zip(found, [*found[1:], (len(text), 0)], strict=True) if heads
+              for run in _IBAN.finditer(text, a, b) if mod97(run.group())]
+    for span in sorted(found[1:] + others):
+        yield "iban", *span
 
 
 def numbers(text: str) -> Iterator[Span]:

@@ -47,6 +47,23 @@ def test_checksums_and_context():
     assert pii.score("call +1 234 555 0000", ("phone", 5, 20)) > pii.score("and +1 234 555 0000", ("phone", 4, 19))
 
 
+def test_ibans_end_where_their_country_says():
+    plain, grouped = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    for code in (plain, grouped, "NO9386011117947", "GB82 WEST 1234 5698 7654 32", "MT84MALT011000012345MTLCAST001S"):
+        for before in ("", "IBAN ", "ID AB12 ", "REF99 "):
+            for after in ("", " COBADEFFXXX", " BIC COBADEFF", " EUR 250", " 250", " 1234 5678 EUR", " Bank", " ok", "\n12",
+                          f" {grouped}"):
+                want = [code, *[grouped] * (after == f" {grouped}")]
+                text = before + code + after
+                assert [text[a:b] for k, a, b, _ in pii.spans(text) if k == "iban"] == want, text
+    assert pii.redacted(f"pay {grouped} COBADEFFXXX EUR 250") == "pay [IBAN] COBADEFFXXX EUR 250"
+    # A country without known length: the whole run.
+    assert [*pii.ibans("ZZ22 3704 0044 0532 0130 00 ok")] == [("iban", 0, 27)]
+    assert not [*pii.ibans(f"{grouped[:-1]}1 EUR 250")] and not [*pii.ibans(f"x{plain}")] and not [*pii.ibans(f"{plain}x")]
+    for run in ("AB12 " * 60_000, "DE12 " * 60_000, "DE12" * 60_000):
+        assert sum(1 for _ in pii.ibans(run)) * 22 <= len(run)
+
+
 def test_redacted_replaces_runs_of_spans():
     assert pii.redacted("to a@b.co, 1.2.3.4") == "to [EMAIL], [IP]"
     assert pii.redacted("none") == "none" and pii.redacted(None) is None and pii.redacted("") == ""
