@@ -5,7 +5,9 @@ sample of it, gives every document a posterior over the domains. Nonnegative rat
 tokens of each domain, ``sum(rate * tokens * posterior)``, match the targets: projected gradients from rate 1 minimise
 the squared differences (as shares of all tokens). A document's rate depends on its own posterior and on one vector per
 step, so a step is one aggregation over all documents and a rate is a fold over the steps so far.
-A rate becomes whole copies by a hash of the key: ``floor(rate)`` and one more for the share of keys the fraction names.
+A rate becomes whole copies by a hash of key and text: ``floor(rate)`` and one more for the share of them that the
+fraction names. Rows that repeat key and text are sampled systematically along their number: their copies sum up to
+their rates, but for less than one.
 
 Only built-in expressions run: no Python on the executors. Null texts count as empty. Without labels there is one
 domain, and every rate is 1. Targets name domains; those not named keep their share, all are scaled to sum 1. Rows with
@@ -19,7 +21,7 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tables import materialize
@@ -32,6 +34,8 @@ SHRINK = 8.0
 LEAST_RATIO = 1.6
 #: Descent: steps, momentum and pull of the weights towards 0.
 STEPS, MOMENTUM, DECAY = 25, 0.9, 1.0
+#: Rows of one run of neighbours, as a power of 2.
+RUN_BITS = 10
 _SEPARATOR, _BETWEEN = "[\\t-\\r]", "[\\t-\\r.,;:!?]"
 
 
@@ -201,15 +205,18 @@ def solve(weights: DataFrame, names: list[str], targets: dict[str, float], most:
 
 def with_rates(docs: DataFrame, labels: DataFrame, names: list[str], targets: dict[str, float], key: str,
                text: str, keep: list[str]) -> tuple[DataFrame, list[str]]:
-    """``row`` (the columns ``keep`` of ``docs``), ``tokens``, ``posterior`` and ``rate``; and the names of the domains.
+    """``row`` (the columns ``keep`` of ``docs``), ``tokens``, ``posterior``, ``rate`` and ``copies``; and the domains' names.
 
     Posteriors are worked out once, in one pass over the texts.
     """
     domains = fit(docs, labels, names, key, text)
     scored = materialize(domains.posterior(described(docs, text)).select(
-        F.struct(*[F.col(f"row.`{c}`").alias(c) for c in keep]).alias("row"), "tokens", "posterior"), "posteriors")
+        F.struct(*[F.col(f"row.`{c}`").alias(c) for c in keep]).alias("row"), "tokens", "posterior",
+        F.xxhash64(F.col(f"row.`{key}`"), F.col(f"row.`{text}`"), F.lit("copies")).alias("mark"),
+        F.monotonically_increasing_id().alias("at")), "posteriors")
     steps, _, _ = solve(scored.select("tokens", "posterior"), domains.names, targets)
-    return scored.withColumn("rate", rate_of(F.col("posterior"), steps)), domains.names
+    rated = numbered(scored).withColumn("rate", rate_of(F.col("posterior"), steps))
+    return rated.withColumn("copies", copies(F.col("rate"), F.col("mark"), F.col("nth"))), domains.names
 
 
 def rates(docs: DataFrame, labels: DataFrame, names: list[str], targets: dict[str, float], key: str = "doc_id",
@@ -219,19 +226,36 @@ def rates(docs: DataFrame, labels: DataFrame, names: list[str], targets: dict[st
     return found.select(
         F.col(f"row.`{key}`").alias(key), "tokens",
         F.map_from_arrays(F.array(*map(F.lit, domains)), "posterior").alias("posterior"), "rate",
-        copies(F.col("rate"), F.col(f"row.`{key}`")).alias("copies"))
+        "copies")
 
 
 def mixed(docs: DataFrame, labels: DataFrame, names: list[str], targets: dict[str, float], key: str = "doc_id",
           text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, each as often as its copies."""
     found, _ = with_rates(docs, labels, names, targets, key, text, docs.columns)
-    many = found.select("row", F.explode(F.sequence(
-        F.lit(0), copies(F.col("rate"), F.col(f"row.`{key}`")))).alias("nth")).filter("nth > 0")
+    many = found.select("row", F.explode(F.sequence(F.lit(0), "copies")).alias("nth")).filter("nth > 0")
     return many.select("row.*")
 
 
-def copies(rate: Column, key: Column) -> Column:
-    """Whole copies: the rate rounded down or up by a hash of the key."""
-    draw = F.xxhash64(key, F.lit("copies")).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)
-    return F.floor(rate + draw).cast("int")
+def numbered(scored: DataFrame) -> DataFrame:
+    """``nth``: the number from 1 of each row among those of its ``mark``, by ``at``.
+
+    Rows of a mark are numbered in runs of at most ``2 ** RUN_BITS`` neighbours, so a hot mark is dealt out; a second sum
+    over one row per run gives the number that a run starts from. Without repeated marks nothing is dealt.
+    """
+    if scored.groupBy("mark").count().filter("count > 1").isEmpty():
+        return scored.withColumn("nth", F.lit(1).cast("long"))
+    rows = scored.withColumn("run", F.shiftright("at", RUN_BITS))
+    earlier = Window.partitionBy("mark").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("mark", "run").agg(F.count("*").alias("n")).select(
+        "mark", "run", F.sum("n").over(earlier).alias("before")).filter("before > 0")
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("mark", "run").orderBy("at")).cast("long"))
+    return rows.join(starts, ["mark", "run"], "left").withColumn(
+        "nth", F.col("nth") + F.coalesce("before", F.lit(0).cast("long"))).drop("run", "before")
+
+
+def copies(rate: Column, mark: Column, nth: Column) -> Column:
+    """Whole copies: the rate rounded down or up by a hash, so that the first n of a mark have n rates, rounded."""
+    draw = mark.bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)
+    whole = F.floor(rate)
+    return (whole + F.floor(nth * (rate - whole) + draw) - F.floor((nth - 1) * (rate - whole) + draw)).cast("int")

@@ -57,3 +57,46 @@ def test_edge_rows(spark):
     assert sourcemix.rates(docs.limit(0), labels, ["quality", "toxic"], TARGETS).count() == 0
     many = sourcemix.mixed(docs, labels.limit(0), ["quality", "toxic"], TARGETS)
     assert many.columns == docs.columns and many.count() == 6
+
+
+def test_rows_of_one_key_are_drawn_apart(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    rows = sourcemix.rates(docs.withColumn("doc_id", F.when(~third, F.col("doc_id"))), labels, ["quality", "toxic"],
+                           TARGETS).collect()
+    hot = [r for r in rows if r.doc_id is None]
+    assert len(hot) > len(rows) / 4
+    # Copies differ from rates as independent draws do.
+    for some in (rows, hot):
+        for domain in TARGETS:
+            miss = sum((r.copies - r.rate) * r.tokens * r.posterior[domain] for r in some)
+            spread = sum((r.rate % 1) * (1 - r.rate % 1) * (r.tokens * r.posterior[domain]) ** 2 for r in some) ** 0.5
+            assert abs(miss) < 4 * spread + 1e-6, domain
+    # No draw is common to the rows of the key.
+    assert min(r.rate for r in hot if 0 < r.rate < 1 and r.copies == 1) < max(
+        r.rate for r in hot if 0 < r.rate < 1 and r.copies == 0)
+
+
+def test_identical_rows_have_the_sum_of_their_rates(spark):
+    for value in (None, 7):
+        rows = spark.range(9000).select(
+            F.lit(value).cast("long").alias("doc_id"), F.lit("same").alias("t"), (F.col("id") + 5).alias("at"),
+            (F.col("id") % 3).alias("mark")).repartition(7)
+        got = sourcemix.numbered(rows).collect()
+        for m in range(3):
+            assert sorted(r.nth for r in got if r.mark == m) == list(range(1, 3001))
+    for rate in (0.0, 0.3, 1.0, 1.75, 3.0):
+        many = sourcemix.numbered(rows).select(
+            "mark", sourcemix.copies(F.lit(rate), F.col("mark"), F.col("nth")).alias("c")).groupBy("mark").agg(
+            F.sum("c").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).collect()
+        assert all(abs(r.n - 3000 * rate) <= 1 and r.low >= int(rate) and r.high <= -int(-rate // 1) for r in many)
+
+
+def test_a_third_of_equal_rows_is_not_dropped_as_one(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    same = spark.range(300).select(F.lit(None).cast("long").alias("doc_id"), F.lit(docs.first().text).alias("text"))
+    rows = sourcemix.rates(docs.limit(600).unionByName(same), labels, ["quality", "toxic"], TARGETS).collect()
+    hot = [r for r in rows if r.doc_id is None]
+    assert len(hot) == 300 and abs(sum(r.copies for r in hot) - sum(r.rate for r in hot)) <= 1
