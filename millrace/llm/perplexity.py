@@ -9,7 +9,9 @@ the same result.
 
 A text passes if its mean negative log-probability per byte lies in its language's band: the median, less or plus
 ``REACH`` times the distance of the lower or upper quartile, at least ``LEAST_REACH``, among the texts that pass the base
-rules, and an allowance for short texts. Quartiles come from counts over all texts, not from samples.
+rules, and an allowance for short texts. Quartiles come from counts over all distinct texts, not from samples: copies
+count once, however many there are. However wide the quartiles, the band ends at ``LEAST_SHARE`` and ``MOST_SHARE`` of
+the median, so that no group switches a side of it off.
 
 A null language is a language of its own. Null and empty texts have no words, fail the base rules and have no
 perplexity. Repeated rows are judged one by one; an empty table gives an empty result; columns other than key, text and
@@ -32,6 +34,8 @@ from millrace.llm.texts import SEPARATOR, Texts, U, splitmix, windows
 
 ORDER = 4
 REACH, LEAST_REACH = 6.0, 0.08
+#: Limits of the band as shares of the median.
+LEAST_SHARE, MOST_SHARE = 0.75, 2.0
 #: A mean over n bytes strays: the band is wider by this over the root of n on both sides.
 STRAY = 2.0
 #: Rows of the model that every task may hold, at 12 bytes each.
@@ -168,12 +172,13 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
 
 def _described(ids: pa.Array, langs: pa.Array, texts: Texts, logp) -> pa.RecordBatch:
     """Counts and log-probabilities of rows; ``logp`` gives those of keys."""
-    out = {c: [] for c in (*STATS, "n_bytes", "logp")}
+    out = {c: [] for c in (*STATS, "n_bytes", "mark", "logp")}
     for a, b, part in texts.slices(_SLICE):
         for c, v in base_counts(part).items():
             out[c].append(v)
         found, offsets = grams(part)
         out["n_bytes"].append(np.diff(offsets))
+        out["mark"].append(part.hashes(part.offsets[:-1], part.offsets[1:]).view(np.int64))
         out["logp"].append(_per_text(logp(_keys(langs, a, b, found, offsets)), offsets))
     columns = [pa.array(np.concatenate(v) if v else [], pa.float64() if c == "logp" else pa.int64())
                for c, v in out.items()]
@@ -182,11 +187,11 @@ def _described(ids: pa.Array, langs: pa.Array, texts: Texts, logp) -> pa.RecordB
 
 def described(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
               most_rows: int = MOST_ROWS) -> DataFrame:
-    """id, lang, the counts ``STATS``, n_bytes and logp (sum over the text) of every row."""
+    """id, lang, the counts ``STATS``, n_bytes, mark (a hash of the text) and logp (sum over the text) of every row."""
     rows = docs.select(F.col(key).alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     model = materialize(kneser_ney(materialize(counted(rows, "text", "lang"), "grams")), "model")
     kinds = docs.schema[key].dataType.simpleString()
-    schema = f"id {kinds}, lang string, " + ", ".join(f"{c} bigint" for c in (*STATS, "n_bytes")) + ", logp double"
+    schema = f"id {kinds}, lang string, " + ", ".join(f"{c} bigint" for c in (*STATS, "n_bytes", "mark")) + ", logp double"
     if model.count() <= most_rows:
         table = model.toArrow()
         keys = table.column("key").to_numpy().view(U)
@@ -230,17 +235,25 @@ def base_failed() -> Column:
 
 
 def bands(found: DataFrame, reach: float = REACH, least_reach: float = LEAST_REACH) -> DataFrame:
-    """lang, low, high: limits of nats per byte, from exact quartiles (to 1/1000) of the texts that pass the base."""
-    bins = found.filter(~base_failed()).groupBy(
-        "lang", F.floor(F.try_divide(-1000 * F.col("logp"), "n_bytes")).alias("bin")).agg(F.count("*").alias("n"))
+    """lang, low, high: limits of nats per byte, from exact quartiles (to 1/1000) of the texts that pass the base.
+
+    Rows of one language with the same ``mark``, if there is one, are one text.
+    """
+    rows = found.filter(~base_failed()).select(
+        "lang", F.floor(F.try_divide(-1000 * F.col("logp"), "n_bytes")).alias("bin"),
+        *[c for c in ("mark",) if c in found.columns])
+    if "mark" in rows.columns:
+        rows = rows.groupBy("lang", "mark").agg(F.min("bin").alias("bin"))
+    bins = rows.groupBy("lang", "bin").agg(F.count("*").alias("n"))
     by_lang = Window.partitionBy("lang")
     share = F.sum("n").over(by_lang.orderBy("bin")) / F.sum("n").over(by_lang)
     at = bins.select("lang", "bin", share.alias("share")).groupBy("lang").agg(*[
         (F.min(F.when(F.col("share") >= q, F.col("bin"))) / 1000.0).alias(c)
         for q, c in ((0.25, "q1"), (0.5, "mid"), (0.75, "q3"))])
     return at.select("lang", *[
-        (F.col("mid") + sign * F.greatest(F.lit(least_reach), reach * F.abs(F.col(q) - F.col("mid")))).alias(c)
-        for sign, q, c in ((-1, "q1", "low"), (1, "q3", "high"))])
+        (F.col("mid") + sign * F.greatest(F.lit(least_reach), F.least(
+            F.abs(share - 1) * F.col("mid"), reach * F.abs(F.col(q) - F.col("mid"))))).alias(c)
+        for sign, q, c, share in ((-1, "q1", "low", F.lit(LEAST_SHARE)), (1, "q3", "high", F.lit(MOST_SHARE)))])
 
 
 def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", reach: float = REACH,

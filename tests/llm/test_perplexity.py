@@ -113,3 +113,40 @@ def test_band_rejects_both_sides(spark):
     low, high = px.bands(found).select("low", "high").first()
     assert 0.2 < low < 2.0 < 2.06 < high < 9
     assert px.bands(found.limit(0)).count() == 0 and F is not None
+
+
+def test_copies_do_not_switch_the_band_off(spark):
+    def row(i, nats, mark):
+        return i, "en", 100, 1000, mark, -1000.0 * nats, 0
+
+    clean = [row(i, 1.48 + i % 60 / 1000, i) for i in range(600)]
+    odd = [row(900, 0.75, 900), row(901, 5.0, 901)]
+    plain = None
+    # None, a third and half of the language: copies of one text, then different texts as like as copies.
+    for copies in (0, 300, 600):
+        for apart in (False, True):
+            rows = clean + odd + [row(1000 + i, 0.9, 1000 + i * apart) for i in range(copies)]
+            found = spark.createDataFrame(
+                rows, "id int, lang string, n_words long, n_bytes long, mark long, logp double, n_repeat_words long")
+            low, high = px.bands(found).select("low", "high").first()
+            plain = plain or (low, high)
+            if not apart:
+                assert np.allclose((low, high), plain, atol=0.01)
+            if apart and copies == 300:
+                assert 0.75 < low and high < 5.0
+            assert low > 0.5 and high < 5.0
+
+
+def test_random_text_is_rejected_beside_copies(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang = 'en'").select(
+        "doc_id", "text", "lang")
+    rng = np.random.default_rng(3)
+    junk = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 8)) for _ in range(150))
+    one = px.judged(docs).filter("kept").orderBy("doc_id").first().doc_id
+    body = docs.filter(F.col("doc_id") == one).first().text
+    n = docs.count()
+    extra = spark.createDataFrame([(-1, junk, "en")], docs.schema)
+    for many in (n // 2, n):
+        more = spark.range(many).select((-2 - F.col("id")).alias("doc_id"), F.lit(body).alias("text"), F.lit("en").alias("lang"))
+        got = px.judged(docs.unionByName(extra).unionByName(more))
+        assert [r.kept for r in got.filter("doc_id = -1").collect()] == [False]
