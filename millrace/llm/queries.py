@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, idfiles, mixing, nearest, neardup, perplexity, pii, quality, sourcemix, substrings
+from millrace.llm import (
+    addresses,
+    bpe,
+    divergence,
+    idfiles,
+    infill,
+    mixing,
+    nearest,
+    neardup,
+    perplexity,
+    pii,
+    quality,
+    sourcemix,
+    substrings,
+)
 from millrace.llm.tables import held_out, table
 from millrace.session import scratch_path
 
@@ -95,6 +109,21 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.read(spark, path, ids=False).withColumnRenamed("key", "doc_id")
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for filling in its middle, as digests."""
+    return infill.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's address."""
+    return addresses.filtered(table(spark, sf_dir, "pages"), addresses.RULES)
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of each language, and the terms that set each source apart."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_perplexity": op2_perplexity,
@@ -106,7 +135,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_pii": op9_pii,
     "op10_id_files": op10_id_files,
+    "op11_infill": op11_infill,
+    "op12_addresses": op12_addresses,
+    "op13_divergence": op13_divergence,
 }
 
 #: Queries without an entry are held against brute-force versions in tests/llm.
-ORACLES: dict[str, str] = {"op3_nearest": OP3_SQL}
+ORACLES: dict[str, str] = {
+    "op3_nearest": OP3_SQL,
+    "op11_infill": infill.SQL,
+    "op12_addresses": addresses.SQL,
+    "op13_divergence": divergence.SQL,
+}
