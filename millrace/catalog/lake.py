@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -208,24 +210,8 @@ def product_sales_fact(v, spark):
     return facts
 
 
-@query("snowflake_settlement", "", """
-    with place as (
-        select s_suppkey, s_name, row_number() over (order by cast(s_suppkey as varchar)) as id
-        from supplier where s_suppkey in (select l_suppkey from lineitem)),
-    pay as (
-        select l_orderkey, l_partkey, l_suppkey,
-               max(cast(l_extendedprice as decimal(14,2))) as total
-        from lineitem group by 1, 2, 3),
-    sums as (
-        select l_suppkey, cast(o_orderdate as date) as day, count(distinct l_orderkey) as n,
-               cast(sum(total) as double) as total, cast(count(*) as double) as granted
-        from pay join orders on o_orderkey = l_orderkey where o_orderstatus = 'F' group by 1, 2)
-    select cast(id as int) as restaurant_id, s_name as restaurant_name, day as settlement_date,
-           n as orders_count, total as orders_total_sum, 0.0::double as orders_bonus_payment_sum,
-           granted as orders_bonus_granted_sum, round(total * 0.25, 4) as order_processing_fee,
-           round(total - total * 0.25, 4) as restaurant_reward_sum
-    from sums join place on s_suppkey = l_suppkey""")
-def snowflake_settlement(v, spark):
+def _delivery_docs(v):
+    """Documents of places with their menus, of people and orders, and the bonus events."""
     lines, since = v("lineitem"), _ts("2020-01-01")
     product = F.concat_ws("-", F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string"))
     sold = lines.groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(
@@ -270,8 +256,75 @@ def snowflake_settlement(v, spark):
             F.lit("2020-01-01 00:00:00").alias("order_date"), F.col("payments").alias("product_payments"),
         )).alias("event_value"),
     )
-    tables = snowflake.load(*(materialize(d, "documents") for d in (places, people, bought, events)))
-    return snowflake.settlement(tables)
+    return places, people, bought, events
+
+
+@query("snowflake_settlement", "", """
+    with place as (
+        select s_suppkey, s_name, row_number() over (order by cast(s_suppkey as varchar)) as id
+        from supplier where s_suppkey in (select l_suppkey from lineitem)),
+    pay as (
+        select l_orderkey, l_partkey, l_suppkey,
+               max(cast(l_extendedprice as decimal(14,2))) as total
+        from lineitem group by 1, 2, 3),
+    sums as (
+        select l_suppkey, cast(o_orderdate as date) as day, count(distinct l_orderkey) as n,
+               cast(sum(total) as double) as total, cast(count(*) as double) as granted
+        from pay join orders on o_orderkey = l_orderkey where o_orderstatus = 'F' group by 1, 2)
+    select cast(id as int) as restaurant_id, s_name as restaurant_name, day as settlement_date,
+           n as orders_count, total as orders_total_sum, 0.0::double as orders_bonus_payment_sum,
+           granted as orders_bonus_granted_sum, round(total * 0.25, 4) as order_processing_fee,
+           round(total - total * 0.25, 4) as restaurant_reward_sum
+    from sums join place on s_suppkey = l_suppkey""")
+def snowflake_settlement(v, spark):
+    docs = [materialize(d, "documents") for d in _delivery_docs(v)]
+    ids = snowflake.key_ledger(spark, scratch_path(spark, "ids"))
+    return snowflake.settlement(snowflake.load(ids, *docs))
+
+
+@query("snowflake_two_loads", "", """
+    with place as (
+        select cast(s_suppkey as varchar) as key, s_suppkey % 2 as late,
+               row_number() over (order by s_suppkey % 2, cast(s_suppkey as varchar)) as id
+        from supplier where s_suppkey in (select l_suppkey from lineitem)),
+    person as (
+        select cast(c_custkey as varchar) as key, c_custkey % 2 as late,
+               row_number() over (order by c_custkey % 2, cast(c_custkey as varchar)) as id
+        from customer),
+    sent as (
+        select o_orderkey, o_orderdate as ts, cast(o_custkey as varchar) as person, cast(s as varchar) as place,
+               case when o_custkey % 2 = 0 and s % 2 = 0 then 0 else 1 end as late
+        from orders join (select l_orderkey, min(l_suppkey) as s from lineitem group by 1) on l_orderkey = o_orderkey),
+    moment as (
+        select ts, min(late) as late, row_number() over (order by min(late), ts) as id from sent group by ts),
+    ordered as (
+        select *, row_number() over (order by late, o_orderkey) as id from sent),
+    loads as (select 1 as load union all select 2)
+    select load, 'dm_restaurants' as tab, key, cast(id as int) as id, '' as refers from place, loads where late < load
+    union all
+    select load, 'dm_users', key, cast(id as int), '' from person, loads where late < load
+    union all
+    select load, 'dm_orders', cast(o_orderkey as varchar), cast(o.id as int),
+           moment.id || '|' || place.id || '|' || person.id
+    from ordered o join moment on moment.ts = o.ts join place on place.key = o.place join person on person.key = o.person,
+         loads where o.late < load""")
+def snowflake_two_loads(v, spark):
+    docs = [materialize(d, "documents") for d in _delivery_docs(v)[:3]]
+    even = F.col("object_id").cast("bigint") % 2 == 0
+    early = F.get_json_object("object_value", "$.restaurant.id").cast("bigint") % 2 == 0
+    early &= F.get_json_object("object_value", "$.user.id").cast("bigint") % 2 == 0
+    no_events = spark.createDataFrame([], "id bigint, event_ts timestamp_ntz, event_type string, event_value string")
+    ids = snowflake.key_ledger(spark, scratch_path(spark, "ids"))
+    parts = []
+    for number, loaded in ((1, [docs[0].filter(even), docs[1].filter(even), docs[2].filter(early)]), (2, docs)):
+        tables = snowflake.load(ids, *loaded, no_events)
+        refers = F.concat_ws("|", "timestamp_id", "restaurant_id", "user_id")
+        parts += [
+            tables[name].select(F.lit(number).alias("load"), F.lit(name).alias("tab"), F.col(key).alias("key"), "id",
+                                (refers if name == "dm_orders" else F.lit("")).alias("refers"))
+            for name, key in (("dm_restaurants", "restaurant_id"), ("dm_users", "user_id"), ("dm_orders", "order_key"))
+        ]
+    return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
 
 @query("delivery_fact", "deliveries couriers", """

@@ -172,16 +172,20 @@ def client_profile(v, spark):
                    or o.cancelled_cnt is distinct from n.cancelled_cnt
                    or o.spent_amt is distinct from n.spent_amt
                    or o.debt_amt is distinct from n.debt_amt as fresh
-        from old o full join profile n on o.phone_num = n.phone_num)
+        from old o full join profile n on o.phone_num = n.phone_num),
+    new_ as (
+        select phone_num, row_number() over (order by phone_num)
+               + (select coalesce(max(client_id), 0) from old) as new_id
+        from both_ where not has_old)
     select phone_num, r0 as rides_cnt, c0 as cancelled_cnt, cast(s0 as double) as spent_amt,
            cast(d0 as double) as debt_amt, client_id, timestamp '2024-01-20' as effective_from,
            case when fresh then timestamp '2024-02-01' - interval '15' second
                 else timestamp '2999-12-31' end as effective_to, 0 as deleted
     from both_ where has_old
     union all
-    select phone_num, r1, c1, cast(s1 as double), cast(d1 as double), client_id,
+    select phone_num, r1, c1, cast(s1 as double), cast(d1 as double), coalesce(client_id, new_id),
            timestamp '2024-02-01', timestamp '2999-12-31', 0
-    from both_ where fresh""",
+    from both_ left join new_ using (phone_num) where fresh""",
     "phone_num, rides_cnt, cancelled_cnt, spent_amt, debt_amt, client_id, deleted"))
 def client_profile_history(v, spark):
     # Both profiles start from the same rides.

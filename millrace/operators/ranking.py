@@ -47,22 +47,21 @@ def numbered(df: DataFrame, name: str, *order: str | Column) -> tuple[DataFrame,
 
     A range-partitioned sort gives every partition one stretch of the order. The sorted rows are
     written once, so that numbers and partition sizes come from the same stretches. Only one count
-    per partition reaches the driver.
+    per partition reaches the driver; it comes back as a table of offsets joined by partition, so the plan
+    does not grow with their number.
     """
     sorted_rows = df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id())
-    table = materialize(sorted_rows, "sorted")
-    part = F.shiftright("_place", 33)
-    sizes = {
-        r["part"]: r["n"]
-        for r in table.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
-    }
-    offsets, total = [0] * (max(sizes, default=0) + 1), 0
-    for p in sorted(sizes):
-        offsets[p] = total
-        total += sizes[p]
+    table = materialize(sorted_rows, "sorted").withColumn("_part", F.shiftright("_place", 33))
+    sizes = table.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()
+    offsets, total = [], 0
+    for part, n in sorted((r["_part"], r["n"]) for r in sizes):
+        offsets.append((part, total))
+        total += n
+    starts = df.sparkSession.createDataFrame(offsets, "_part bigint, _start bigint")
     inside = F.col("_place").bitwiseAND((1 << 33) - 1)
-    at = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), (part + 1).cast("int"))
-    return table.withColumn(name, at + inside).drop("_place"), total
+    # One row per partition of the sort.
+    placed = table.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + inside)
+    return placed.drop("_part", "_place", "_start"), total
 
 
 def ntile(df: DataFrame, tiles: int, name: str, *order: str | Column) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from millrace.functions.values import changed
 from millrace.operators.joins import OPEN_END
 from millrace.operators.ranking import numbered
+from millrace.session import materialize
 
 FROM, TO, DELETED = "effective_from", "effective_to", "deleted"
 
@@ -130,15 +131,21 @@ def _merge(
 def fill_surrogates(dim: DataFrame, key: str, name: str) -> DataFrame:
     """Numbers for keys that have none yet, after the greatest one given, in key order.
 
-    All versions of a key share its number. Only new keys are numbered, by a distributed sort.
+    All versions of a key share its number. ``dim`` is worked out once; numbered versions pass through by union, only
+    those without a number are joined, and only new keys are numbered, by a distributed sort. For several writers, or
+    numbers that outlive a reload, see ``surrogates``.
     """
-    missing = dim.filter(F.col(name).isNull() & F.col(key).isNotNull()).select(key).distinct()
-    own = dim.filter(F.col(name).isNotNull()).groupBy(key).agg(F.max(name).alias("_own"))
-    listed, _ = numbered(missing.join(own, key, "left_anti"), "_no", key)
-    top = dim.agg(F.coalesce(F.max(name), F.lit(0)).cast("bigint")).first()[0]
+    rows = materialize(dim, "members")
+    bare = F.col(name).isNull() & F.col(key).isNotNull()
+    missing = rows.filter(bare)
+    keys = missing.select(key).distinct()
+    own = rows.filter(F.col(name).isNotNull()).join(keys, key, "left_semi").groupBy(key).agg(F.max(name).alias("_own"))
+    listed, _ = numbered(keys.join(own, key, "left_anti"), "_no", key)
+    top = rows.agg(F.coalesce(F.max(name), F.lit(0)).cast("bigint")).first()[0]
     kind = dim.schema[name].dataType
     found = own.unionByName(listed.select(key, (F.col("_no") + top + 1).cast(kind).alias("_own")))
-    return dim.join(found, key, "left").withColumn(name, F.coalesce(name, "_own")).select(*dim.columns)
+    filled = missing.drop(name).join(found, key).withColumnRenamed("_own", name).select(*dim.columns)
+    return rows.filter(~bare).unionByName(filled)
 
 
 def scd2_new(dim, stg, key: str, attrs: Sequence[str], **names) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.values import elapsed_us, strip_blanks
 from millrace.operators.chunked import carried, time_chunk
 from millrace.operators.joins import current, range_first, spread_join, unseen
-from millrace.operators.scd2 import scd2_apply
+from millrace.operators.scd2 import fill_surrogates, scd2_apply
 from millrace.session import materialize
 
 
@@ -177,12 +177,17 @@ PROFILE = ["rides_cnt", "cancelled_cnt", "spent_amt", "debt_amt"]
 def client_profile_history(
     history: DataFrame, profile: DataFrame, key_slice: DataFrame, now: str
 ) -> DataFrame:
-    """Versions of computed client measures: the aggregate is the staged state at ``now``."""
+    """Versions of computed client measures: the aggregate is the staged state at ``now``.
+
+    A history with ``client_id`` gives new clients the next numbers, in the order of their phones.
+    """
     kinds = {c: history.schema[c].dataType for c in PROFILE}
     stg = profile.select(
         "phone_num", *[F.col(c).cast(kinds[c]).alias(c) for c in PROFILE],
         F.lit(now).cast("timestamp_ntz").alias("create_dt"),
         F.lit(None).cast("timestamp_ntz").alias("update_dt"),
     )
-    carry = [c for c in ("client_id",) if c in history.columns]
-    return scd2_apply(history, stg, key_slice, now, "phone_num", PROFILE, carry=carry)
+    if "client_id" not in history.columns:
+        return scd2_apply(history, stg, key_slice, now, "phone_num", PROFILE)
+    versions = scd2_apply(history, stg, key_slice, now, "phone_num", PROFILE, carry=["client_id"])
+    return fill_surrogates(versions, "phone_num", "client_id")
