@@ -8,10 +8,11 @@ are linked if their sets' Jaccard similarity is ``least`` or more; each link is
 2. One hash of each shingle picks its bin; a bin keeps its least hash, an empty bin borrows from the first full one in
    its own random order of bins. Bands of bins are bucket keys.
 3. A bucket offers each member with the bucket's smallest key: a star, not all pairs. Confirmed stars give components.
-   Buckets that still hold several offer the members outside the largest with ``STARS`` drawn members of it.
-4. What no star can see, a link between two members that are both unlike the centres, is found last: buckets that
-   still hold several components offer each member outside the largest with the members of the other components. So
-   no candidate pair of a bucket is lost, and no pair is built inside a component.
+4. What no star can see, a link between two members that are both unlike the centre, is found last, in buckets that
+   still hold several components: the members outside the largest meet the members of all others, in blocks of
+   ``BLOCK`` members. A block pair holds the sets themselves, each once, and counts all common shingles by a matrix
+   product; it gives back one link a member, not one a pair. So no candidate pair of a bucket is lost, none is built
+   inside a component, and none ever becomes a row.
 5. Components of all confirmed links are found by rounds of pointing to the least neighbour, each written to the shared
    folder.
 
@@ -34,7 +35,9 @@ from millrace.llm.texts import Texts, U, binary, sequence_hash, splitmix, window
 
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
-STARS = 4
+#: Members, and shingles of their sets, of one block; and shared shingles that a task counts at once.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+_COLUMNS = 4096
 _SLICE = 1 << 21
 
 
@@ -197,11 +200,100 @@ def _mixed(crowded: DataFrame, roots: DataFrame) -> DataFrame:
     return materialize(placed.join(main, "bucket"), "mixed")
 
 
-def _across(members: DataFrame, others: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b) of a member and one of ``others`` (bucket, other, other_size, other_root) of another component."""
-    return members.join(others, "bucket").filter(
-        (F.col("other_root") != F.col("root")) & _fits(F.col("other_size"), F.col("size"), least)).select(
-        *_ordered("other", "id")).distinct()
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``left`` with those ``right``, by products of parts of their incidence."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    place = (np.cumsum(shared) - 1)[code]
+    place, owner = place[shared[code]], owner[shared[code]]
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    out = np.zeros((len(left), len(right)))
+    for first in range(0, int(shared.sum()), _COLUMNS):
+        at = slice(*np.searchsorted(place, [first, first + _COLUMNS]))
+        holds = np.zeros((len(sets), _COLUMNS), np.float32)
+        holds[owner[at], place[at] - first] = 1
+        out += holds[left] @ holds[right].T
+    return out.astype(np.int64)
+
+
+def _new_links(members: pa.Table, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a bucket's block pair and for each the row that now stands for its component, if that is new."""
+    sets = [np.frombuffer(x.as_buffer(), U) for x in members.column("shingles").combine_chunks()]
+    root = members.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+    block, low, high = (members.column(c).to_numpy() for c in ("block", "low", "high"))
+    left, right = np.flatnonzero(block == low), np.flatnonzero((block == high) | members.column("small").to_numpy())
+    size = np.array([len(x) for x in sets])
+    both = _common(sets, left, right)
+    alike = 100 * both >= least * (size[left][:, None] + size[right][None, :] - both)
+    alike &= root[left][:, None] != root[right][None, :]
+    i, j = np.nonzero(alike)
+    i, j = left[i], right[j]
+    # The least row that each row reaches over the links found.
+    label = np.arange(len(sets))
+    while len(i):
+        was = label.copy()
+        np.minimum.at(label, i, was[j])
+        np.minimum.at(label, j, was[i])
+        label = label[label]
+        if (label == was).all():
+            break
+    rows = np.flatnonzero(label != np.arange(len(sets)))
+    return rows, label[rows]
+
+
+def _block_links(mixed: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """Links (a, b) between components that share a bucket, enough to join all that are linked there.
+
+    ``mixed`` has bucket, id, size, root and main. In each bucket the members outside the largest component fill the first
+    blocks, the others the rest; two blocks meet if one of them is of the first kind.
+    """
+    outside = F.col("root") != F.col("main")
+
+    def blocks(n: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+    n, shingles = F.count("*"), F.sum("size")
+    counts = mixed.groupBy("bucket").agg(
+        n.alias("n"), shingles.alias("shingles"), F.count_if(outside).alias("outs"),
+        F.sum(F.when(outside, F.col("size")).otherwise(0)).alias("out_shingles"))
+    counts = counts.select(
+        "bucket", "n", "shingles", blocks(F.col("outs"), F.col("out_shingles")).alias("first"),
+        blocks(F.col("n") - F.col("outs"), F.col("shingles") - F.col("out_shingles")).alias("rest"))
+    # Buckets of one block of either kind share a call, so that calls are few and of like size.
+    is_small = (F.col("first") <= 1) & (F.col("rest") <= 1)
+    whole = counts.filter(is_small).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "shingles")]).first()
+    calls = max(1, -(-whole["n"] // (2 * BLOCK)), -(-whole["shingles"] // (2 * BLOCK_SHINGLES)))
+    deal = F.xxhash64("id", "bucket")
+    block = F.when(outside, F.pmod(deal, F.col("first"))).otherwise(F.col("first") + F.pmod(deal, F.col("rest"))).cast("int")
+    # A block of the first kind meets all blocks, one of the second only those of the first. In a small bucket the
+    # block of the first kind meets the whole bucket at once.
+    meets = F.when(is_small, 1).when(outside, F.col("first") + F.col("rest")).otherwise(F.col("first"))
+    other = F.sequence(F.lit(0), meets.cast("int") - 1)
+    call = F.when(is_small, F.pmod(F.col("bucket"), F.lit(calls))).otherwise(F.col("bucket"))
+    dealt = mixed.join(counts, "bucket").select(
+        "bucket", "id", "root", block.alias("block"), is_small.alias("small"), call.alias("call"), F.explode(other).alias("with"))
+    met = dealt.withColumns({
+        "low": F.when(F.col("small"), 0).otherwise(F.least("block", "with")),
+        "high": F.when(F.col("small"), 0).otherwise(F.greatest("block", "with"))}).drop("with")
+    kind = mixed.schema["id"].dataType.simpleString()
+
+    def rows(group: pa.Table) -> pa.Table:
+        group = group.sort_by("bucket")
+        bucket = group.column("bucket").to_numpy()
+        edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        found = []
+        for a, b in zip(edges, [*edges[1:], len(group)], strict=True):
+            member, by = _new_links(group.slice(a, b - a), least)
+            found.append((member + a, by + a))
+        member, by = (pa.array(np.concatenate(x)) for x in zip(*found, strict=True))
+        ids = group.column("id")
+        return pa.Table.from_arrays([ids.take(member), ids.take(by)], names=["a", "b"])
+
+    full = met.join(sets.select("id", "shingles"), "id")
+    links = full.groupBy("small", "call", "low", "high").applyInArrow(rows, f"a {kind}, b {kind}")
+    return materialize(links.distinct(), "links")
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, least: int = 80) -> DataFrame:
@@ -227,20 +319,9 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5,
     same_key = named.join(several, "id").filter("class <> a").select("a", F.col("class").alias("b"))
     roots = components(confirmed(pairs, sets, least).union(same_key))
 
-    # Then stars around some of the largest component, drawn anew in each bucket, for those still outside it.
-    crowded = crowded.select("bucket", "id", "size")
-    mixed = _mixed(crowded, roots)
-    draws = [F.min(F.when(F.col("root") == F.col("main"), F.struct(F.xxhash64("bucket", "id", F.lit(k)), *[
-        F.col(c).alias(f"other{to}") for c, to in (("id", ""), ("size", "_size"), ("root", "_root"))]))) for k in range(STARS)]
-    drawn = mixed.groupBy("bucket").agg(F.array(*draws).alias("drawn")).select(
-        "bucket", F.explode("drawn").alias("one")).select("bucket", "one.other", "one.other_size", "one.other_root")
-    roots = _merged(roots, confirmed(_across(mixed, drawn, least), sets, least))
-
-    # What is left: members outside the largest component against all of other components.
-    mixed = _mixed(crowded, roots)
-    outside = mixed.filter("root <> main").select("bucket", F.col("id").alias("other"), F.col("size").alias("other_size"),
-                                                  F.col("root").alias("other_root"))
-    roots = _merged(roots, confirmed(_across(mixed, outside, least), sets, least))
+    # Then, in buckets that still hold several components, what no star could see.
+    mixed = _mixed(crowded.select("bucket", "id", "size"), roots)
+    roots = _merged(roots, _block_links(mixed, sets, least))
 
     return named.join(roots.withColumnRenamed("id", "class"), "class", "left").select(
         F.col("id").alias(key), F.col("size").alias("n_shingles"),
@@ -254,4 +335,4 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: i
     """
     member = groups(docs, key, text, n, least)
     drop = member.filter(F.col("component") != F.col(key)).select(key).distinct()
-    return docs.join(drop, key, "left_anti")
+    return docs.join(drop, docs[key] == drop[key], "left_anti")

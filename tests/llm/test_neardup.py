@@ -66,6 +66,65 @@ def test_groups_equal_all_pairs(spark):
         assert got == {k: (want[k], len(shingles(t, n))) for k, t in rows}
 
 
+def template_family(n, seed=9):
+    """Texts of one template, most of them at a similarity of 0.4 to 0.8 to each other, some linked in chains."""
+    rng = random.Random(seed)
+    vocab, base = [f"w{i}" for i in range(4000)], [f"t{i}" for i in range(120)]
+    rows = []
+    for _ in range(n):
+        text = rows[rng.randrange(len(rows))].split() if rows and rng.random() < 0.15 else list(base)
+        for _ in range(rng.choice([2, 8, 12, 18])):
+            text[rng.randrange(len(text))] = rng.choice(vocab)
+        rows.append(" ".join(text))
+    return list(enumerate(rows))
+
+
+def all_links(rows, n, least=80):
+    """Components of all pairs, with intersections counted by one dense product."""
+    sets = [shingles(t, n) for _, t in rows]
+    column = {x: i for i, x in enumerate({x for s in sets for x in s})}
+    holds = np.zeros((len(sets), len(column)), np.float32)
+    for i, s in enumerate(sets):
+        holds[i, [column[x] for x in s]] = 1
+    both, size = holds @ holds.T, holds.sum(1)
+    alike = 100 * both >= least * (size[:, None] + size[None, :] - both)
+    label = np.arange(len(sets))
+    while True:
+        new = np.where(alike, label[None, :], len(sets)).min(1)
+        if (new == label).all():
+            return {rows[i][0]: rows[j][0] for i, j in enumerate(label)}
+        label = new
+
+
+def test_crowded_template(spark, monkeypatch):
+    """Many members of one bucket are linked with nothing; no link is lost, also over the borders of small blocks."""
+    rows = template_family(3000)
+    want = all_links(rows, 2)
+    assert 200 < len(set(want.values())) < 2900
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for block, shingle_limit in ((1024, 1 << 20), (50, 1 << 20), (1024, 5000)):
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        monkeypatch.setattr(neardup, "BLOCK_SHINGLES", shingle_limit)
+        got = {r.doc_id: r.component for r in neardup.groups(docs, n=2).collect()}
+        assert got == want
+
+
+def test_common_counts_by_parts(monkeypatch):
+    monkeypatch.setattr(neardup, "_COLUMNS", 3)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(1, 25)).astype(np.uint64)) for _ in range(30)]
+    left, right = np.arange(0, 30, 2), np.arange(30)
+    want = [[len(np.intersect1d(sets[i], sets[j])) for j in right] for i in left]
+    assert neardup._common(sets, left, right).tolist() == want
+    assert neardup._common([np.array([1], np.uint64)], np.array([0]), np.array([], int)).shape == (1, 0)
+
+
+def test_columns_keep_their_order(spark):
+    docs = spark.createDataFrame([("en", 1, "a b c d e f"), ("en", 2, "a b c d e f")], "lang string, doc_id bigint, text string")
+    kept = neardup.first_of_each(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [("en", 1, "a b c d e f")]
+
+
 def test_query_on_the_tables(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = op5_near_duplicates(spark, SF).collect()
