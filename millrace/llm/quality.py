@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.texts import Texts
@@ -141,8 +141,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, key: st
         label: str = "quality", per_class: int = 2500, longest: int = 32_768, steps: int = 900) -> Network:
     """Network fitted to a 0/1 label; ``learn`` (over ``key``) names the rows that may be learned from.
 
-    The sample holds at most ``2 * per_class`` texts of at most ``longest`` bytes. Rows without key, text or label do
-    not count; a key with several labels or texts counts with each.
+    The sample holds at most ``per_class`` texts of either label, each of at most ``longest`` bytes. Rows without key,
+    text or label do not count; a key with several labels or texts counts with each, in the order of a hash of key and
+    text up to that bound.
     """
     rows = labels.select(F.col(key), F.col(label).cast("int").alias("_label")).filter(F.col("_label").isin(0, 1))
     if learn is not None:
@@ -152,9 +153,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, key: st
         part = rows.filter((F.col("_label") == value) & F.col(key).isNotNull()).orderBy(
             F.xxhash64(key), key).limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # At most 2 * per_class keys, so the texts need no shuffle.
-    found = docs.select(F.col(key), F.col(text).alias("_text")).filter(F.octet_length("_text") <= longest).join(
-        F.broadcast(chosen), key).select("_text", "_label").toArrow()
+    # At most 2 * per_class keys, so the texts need no shuffle; rows that repeat a key count up to the bound.
+    held = docs.select(F.col(key), F.col(text).alias("_text")).filter(F.octet_length("_text") <= longest).join(
+        F.broadcast(chosen), key)
+    first = Window.partitionBy("_label").orderBy(F.xxhash64(key, "_text"), "_text")
+    found = held.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= per_class).select(
+        "_text", "_label").toArrow()
     texts = [t.encode() for t in found.column("_text").to_pylist()]
     if not texts:
         return Network({}, known=False)

@@ -68,3 +68,15 @@ def test_edge_rows(spark):
     kept = quality.accepted(docs, net, least=0.0)
     assert kept.columns == docs.columns and kept.count() == 4
     assert quality.fit(docs, one, F.col("doc_id") != 1).known is False
+
+
+def test_a_repeated_key_brings_no_more_texts(spark, monkeypatch):
+    """One key on a third of the rows: the sample keeps its bound."""
+    docs = spark.range(3000).selectExpr("cast(case when id % 3 = 0 then 1 else id end as bigint) as doc_id",
+                                        "concat('text number ', id) as text")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (4, 0), (5, 1)], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(quality.Network, "train", lambda self, texts, wanted, steps: seen.append((texts, wanted)) or self)
+    quality.fit(docs, labels, per_class=5)
+    (texts, wanted), = seen
+    assert len(texts) == 7 and (wanted == 1).sum() == 5 and {b"text number 2", b"text number 4"} <= set(texts)
