@@ -26,6 +26,21 @@ def unit_vector(lat, lon) -> tuple[Column, Column, Column]:
     return F.cos(p) * F.cos(m), F.cos(p) * F.sin(m), F.sin(p)
 
 
+def apart_km(lat, lon, south, north, west, east) -> Column:
+    """A distance in km that a point is at least away from everything in a box of latitudes and longitudes.
+
+    The box must not cross the date line; the point may lie on the other side of it. A hair is taken off, so that
+    rounding keeps the bound below the distances computed.
+    """
+    lat, lon, south, north, west, east = map(as_col, (lat, lon, south, north, west, east))
+    up = F.radians(F.greatest(south - lat, lat - north, F.lit(0.0)))
+    gap = F.greatest(west - lon, lon - east, F.lit(0.0))
+    around = F.radians(F.least(gap, F.greatest(360.0 - (F.greatest(east, lon) - F.least(west, lon)), F.lit(0.0))))
+    narrow = F.cos(F.radians(F.greatest(F.abs(south), F.abs(north)))) * F.cos(F.radians(lat))
+    h = F.pow(F.sin(up / 2), 2) + F.greatest(narrow, F.lit(0.0)) * F.pow(F.sin(around / 2), 2)
+    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(h, F.lit(1.0)))) * (1 - 1e-9) - 1e-6
+
+
 class Grid:
     """Latitude bands cut into cells at least ``radius_km`` wide and high.
 

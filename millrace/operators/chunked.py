@@ -5,7 +5,8 @@ the job. Here each key is cut along its order into *chunks* (an hour, a day, ...
 column). Windows run per (key, chunk); what crosses a chunk border is carried by a summary with a few
 rows per chunk. The summary join keeps the (key, chunk) partitioning, so the data moves once.
 
-``order`` must be a total order inside the key and ``chunk`` must grow with it. Keys must not be NULL.
+``order`` must be a total order inside the key and ``chunk`` must grow with it. A NULL in a key is a value like any
+other, as in a window.
 """
 
 from __future__ import annotations
@@ -15,7 +16,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.ranking import numbered
+from millrace.session import materialize
+
 Names = Sequence[str]
+#: Stands for NULL in a key of each kind; ``_nulls`` tells the two apart.
+_BLANK = {"string": "", "boolean": False, "date": "1970-01-01", "timestamp": "1970-01-01", "timestamp_ntz": "1970-01-01"}
+
+
+def _null_safe(df: DataFrame, keys: Names) -> tuple[DataFrame, list[str], list[Column]]:
+    """The rows with keys that joins can compare, the names of these, and the keys as they were.
+
+    Joins on NULL-safe equality would not keep the windows' partitioning, so NULLs are replaced and counted instead.
+    """
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    blank = {k: F.lit(_BLANK.get(df.schema[k].dataType.typeName(), 0)).cast(df.schema[k].dataType) for k in keys}
+    flags = sum((F.when(F.col(k).isNull(), 1 << i).otherwise(0) for i, k in enumerate(keys)), F.lit(0))
+    safe = df.withColumns({**{n: F.coalesce(F.col(k), blank[k]) for k, n in names.items()}, "_nulls": flags}).drop(*keys)
+    back = [F.when(F.col("_nulls").bitwiseAND(1 << i) == 0, F.col(n)).alias(k) for i, (k, n) in enumerate(names.items())]
+    return safe, [*names.values(), "_nulls"], back
 
 
 def time_chunk(ts: str, unit: str = "hour") -> Column:
@@ -27,6 +46,29 @@ def time_chunk(ts: str, unit: str = "hour") -> Column:
     return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(micros))
 
 
+def sized_chunk(df: DataFrame, keys: Names, order: Names, unit: str = "hour", name: str = "_chunk",
+                most: int = 1_000_000) -> DataFrame:
+    """The rows with a chunk ``name`` of at most ``most`` rows of a key, whatever their times.
+
+    Chunks are those of ``time_chunk`` over the first order column. One with more rows, of a key that is busy for an
+    hour or has a third of all rows at one instant, is cut on along the whole order: its rows are sorted by range and
+    numbered, and every ``most`` of them are a chunk. Only such rows are sorted.
+    """
+    timed = df.withColumn("_time", time_chunk(order[0], unit))
+    counts = timed.groupBy(*keys, "_time").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
+    crowded = materialize(counts.drop("_n"), "crowded")
+    part = F.struct(F.col("_time"), F.col("_part"))
+    if crowded.isEmpty():
+        return timed.withColumn("_part", F.lit(0).cast("bigint")).withColumn(name, part).drop("_time", "_part")
+    mark = crowded.select(*[F.col(c).alias(f"_c_{c}") for c in (*keys, "_time")], F.lit(True).alias("_crowded"))
+    same = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in (*keys, "_time")]
+    marked = timed.join(mark, same, "left").drop(*[f"_c_{c}" for c in (*keys, "_time")])
+    calm = marked.filter(F.col("_crowded").isNull()).withColumn("_part", F.lit(0).cast("bigint"))
+    busy, _ = numbered(marked.filter("_crowded"), "_no", *keys, *order)
+    cut = busy.withColumn("_part", F.floor(F.col("_no") / most))
+    return calm.unionByName(cut.drop("_no")).withColumn(name, part).drop("_time", "_part", "_crowded")
+
+
 def _whole(keys: Names, chunk: str):
     return Window.partitionBy(*keys, chunk)
 
@@ -78,6 +120,11 @@ def carried(
     ``how`` is ``last`` (latest non-null), ``sum``, ``count``, ``max`` or ``min``; without
     ``inclusive`` the row itself is left out.
     """
+    columns, given = df.columns, keys
+    if value in keys:
+        df = df.withColumn("_value", F.col(value))
+        value = "_value"
+    df, keys, back = _null_safe(df, keys)
     end = 0 if inclusive else -1
     local = _whole(keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     before = (
@@ -120,9 +167,8 @@ def carried(
         moved.withColumn(name, inner.over(local))
         .join(carries, [*keys, chunk], "left")
         .withColumn(name, combined)
-        .select(
-            *[F.col(f"_rest.{c}").alias(c) if c in rest else F.col(c) for c in df.columns], name
-        )
+        .select(*back, *[F.col(f"_rest.{c}").alias(c) if c in rest else F.col(c) for c in columns if c not in given], name)
+        .select(*columns, name)
     )
 
 
@@ -132,6 +178,10 @@ def runs(df: DataFrame, keys: Names, chunk: str, order: Names, value: str) -> Da
     Returns keys, ``run`` (from 0), ``value``, ``run_start`` and ``run_end`` (of the first order
     column) and ``run_rows``.
     """
+    if value in keys:
+        raise ValueError("the value of a run cannot be one of its keys")
+    df, given = df.select(*{*keys, chunk, *order, value}), keys
+    df, keys, back = _null_safe(df, keys)
     at = order[0]
     near = _whole(keys, chunk).orderBy(*order)
     starts = (F.row_number().over(near) > 1) & ~F.lag("_v").over(near).eqNullSafe(F.col("_v"))
@@ -174,4 +224,5 @@ def runs(df: DataFrame, keys: Names, chunk: str, order: Names, value: str) -> Da
             F.max("_to").alias("run_end"),
             F.sum("_rows").alias("run_rows"),
         )
+        .select(*back, "run", value, "run_start", "run_end", "run_rows")
     )

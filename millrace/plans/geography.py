@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.values import local_time
-from millrace.operators.chunked import carried, runs, time_chunk
+from millrace.operators.chunked import carried, runs, sized_chunk
 from millrace.operators.joins import nearest, pairs_within
 
 
@@ -29,22 +29,39 @@ def nearest_city(rows: DataFrame, cities: DataFrame, name: str = "zone_id") -> D
     return nearest(rows, cities, "lat", "lon", "id", "lat", "lng", name)
 
 
+def stays(events: DataFrame, cities: DataFrame, chunk: str = "hour") -> DataFrame:
+    """Runs of a user's messages from one city: user_id, run, zone_id, run_start, run_end, run_rows."""
+    sent = flat(events.filter(F.col("event_type") == "message")).select("user_id", "ts", "event_id", "lat", "lon")
+    located = nearest_city(sized_chunk(sent, ["user_id"], ["ts", "event_id"], chunk), cities).drop("lat", "lon")
+    return runs(located, ["user_id"], "_chunk", ["ts", "event_id"], "zone_id")
+
+
+def journeys(events: DataFrame, cities: DataFrame, most: int = 10_000, chunk: str = "hour") -> DataFrame:
+    """Journeys in pieces of at most ``most`` stays: user_id, piece (from 0) and the cities of its stays in order.
+
+    For users of any length: the pieces of a user one after the other are the ``travel_array`` of ``user_geo``, and no
+    task holds more than a piece.
+    """
+    city = cities.select(F.col("id").alias("zone_id"), "city")
+    named = stays(events, cities, chunk).join(city, "zone_id", "left")
+    return (
+        named.groupBy("user_id", F.floor(F.col("run") / most).alias("piece"))
+        .agg(F.array_sort(F.collect_list(F.struct("run", "city"))).alias("_stays"))
+        .select("user_id", "piece", F.transform("_stays", lambda j: j["city"]).alias("cities"))
+    )
+
+
 def user_geo(
     events: DataFrame, cities: DataFrame, home_days: int = 27, chunk: str = "hour"
 ) -> DataFrame:
     """Current and home city, journeys and local time of users who sent messages.
 
-    A journey is a run of messages from one city, so coming back counts again.
+    A journey is a run of messages from one city, so coming back counts again. One array holds all journeys of a user,
+    as the mart wants it; ``journeys`` gives them in pieces.
     """
-    located = nearest_city(
-        flat(events.filter(F.col("event_type") == "message")).select(
-            "user_id", "ts", "event_id", "lat", "lon"
-        ),
-        cities,
-    ).drop("lat", "lon").withColumn("_chunk", time_chunk("ts", chunk))
-    stays = runs(located, ["user_id"], "_chunk", ["ts", "event_id"], "zone_id")
+    visited = stays(events, cities, chunk)
     city = cities.select(F.col("id").alias("zone_id"), "city", "timezone")
-    named = stays.join(city, "zone_id", "left")
+    named = visited.join(city, "zone_id", "left")
     long_stay = F.datediff("run_end", "run_start") > home_days
     # One array per user is the mart's own result; it holds journeys, not messages.
     journey = F.array_sort(F.collect_list(F.struct("run", "city")))
@@ -75,9 +92,8 @@ def zone_activity(events: DataFrame, cities: DataFrame, chunk: str = "hour") ->
         "user_id", "ts", "event_id", "event_type",
         F.when(is_message, F.col("lat")).alias("lat"), F.when(is_message, F.col("lon")).alias("lon"),
     )
-    line = nearest_city(sent, cities, "_zone").drop("lat", "lon").withColumn(
-        "_chunk", time_chunk("ts", chunk)
-    )
+    chunked = sized_chunk(sent, ["user_id"], ["ts", "event_id"], chunk)
+    line = nearest_city(chunked, cities, "_zone").drop("lat", "lon")
     zoned = carried(
         line, ["user_id"], "_chunk", ["ts", "event_id"], "_zone", "zone_id", "last"
     ).filter(F.col("zone_id").isNotNull())

@@ -24,12 +24,13 @@ RECOMMENDED = {
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master, as in tests, may fall back to a machine-local folder.
+    Only a master that runs all tasks in its own process, as in tests, may fall back to a machine-local folder.
     """
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_CONF} to a shared folder")
     return _local_dir()
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.operators.chunked import carried, runs, shifted, time_chunk
+from millrace.operators.chunked import carried, runs, shifted, sized_chunk, time_chunk
 from millrace.operators.ranking import earliest_by, latest_by, ntile, numbered
 
 
@@ -17,7 +17,7 @@ def rows(spark):
     rng = random.Random(3)
     data, n = [], 0
     # One key holds a third of the rows; another lies in a single chunk; one has gaps of days.
-    for key, size, days in (("hot", 200, 20), ("one", 40, 1), ("gap", 60, 90), *[(f"k{i}", 5, 9) for i in range(60)]):
+    for key, size, days in (("hot", 200, 20), ("one", 40, 1), ("gap", 60, 90), (None, 50, 30), *[(f"k{i}", 5, 9) for i in range(60)]):
         for _ in range(size):
             day, sec = rng.randrange(days), rng.randrange(86400)
             data.append((key, day * 86400 + sec, n, rng.choice(["a", "b", "c", None]), rng.randrange(100)))
@@ -76,6 +76,37 @@ def test_runs(rows):
     same(got, want.select(*got.columns))
 
 
+def test_value_that_is_the_key(rows):
+    got = carried(rows.drop("v").withColumnRenamed("key", "k"), ["k"], "c", ["ts", "id"], "k", "o", "count").select("id", "o")
+    w = Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
+    same(got, rows.withColumnRenamed("key", "k").select("id", F.count("k").over(w).alias("o")))
+
+
+def test_chunks_by_size(spark):
+    """A key with a third of all rows at one instant: no chunk is much larger than asked, and results stay the same."""
+    base = "timestamp_ntz '2024-01-01 10:00:00'"
+    rows = spark.range(3000).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 7 = 0 then null else concat('k', id % 50) end as key",
+        f"case when id % 3 = 0 then {base} else {base} + make_interval(0,0,0,0,0,0,id) end as ts",
+        "pmod(xxhash64(id), 100000) * 10000 + id as id", "cast(id % 5 as string) as v", "cast(id % 11 as int) as x")
+    cut = sized_chunk(rows, ["key"], ["ts", "id"], "hour", "c", most=100)
+    sizes = [r["n"] for r in cut.groupBy("key", "c").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 100
+    mean = sorted(sizes)[len(sizes) // 2]
+    assert max(r["n"] for r in cut.filter("key = 'hot'").groupBy("c").agg(F.count("*").alias("n")).collect()) <= 100 and mean
+    line = Window.partitionBy("key").orderBy("ts", "id")
+    got = carried(cut, ["key"], "c", ["ts", "id"], "x", "o", "sum").select("id", "o")
+    same(got, rows.select("id", F.sum("x").over(line.rowsBetween(Window.unboundedPreceding, 0)).alias("o")))
+    same(shifted(cut, ["key"], "c", ["ts", "id"], {"o": ("v", -2)}).select("id", "o"), rows.select("id", F.lag("v", 2).over(line).alias("o")))
+    turn = (F.row_number().over(line) > 1) & ~F.lag("v").over(line).eqNullSafe(F.col("v"))
+    want = rows.withColumn("run", F.sum(turn.cast("int")).over(line)).groupBy("key", "run").agg(
+        F.first("v").alias("v"), F.min("ts").alias("run_start"), F.max("ts").alias("run_end"), F.count(F.lit(1)).alias("run_rows"))
+    same(runs(cut, ["key"], "c", ["ts", "id"], "v"), want.select("key", "run", "v", "run_start", "run_end", "run_rows"))
+    # Nothing crowded: plain time chunks.
+    calm = sized_chunk(rows, ["key"], ["ts", "id"], "hour", "c", most=5000)
+    assert calm.filter("c._part <> 0").isEmpty() and calm.count() == 3000
+
+
 @pytest.mark.parametrize("size", [0, 1, 3, 5, 13, 100])
 def test_ntile(spark, size):
     df = spark.range(size).select("id", (F.col("id") % 4).alias("x"))

@@ -60,7 +60,7 @@ def places(spark):
     return data, spark.createDataFrame(data, "id int, plat double, plon double")
 
 
-@pytest.mark.parametrize("limit", [2000, 10])
+@pytest.mark.parametrize("limit", [2000, 10, 0])
 def test_nearest(spark, limit):
     cities, df = places(spark)
     rng = random.Random(1)
@@ -78,10 +78,82 @@ def test_nearest(spark, limit):
         assert r["city"] == want, r
 
 
-def test_nearest_tie_takes_smaller_key(spark):
-    df = spark.createDataFrame([(7, 1.0, 1.0), (3, 1.0, 1.0)], "id int, plat double, plon double")
-    rows = spark.createDataFrame([(1.0, 1.5)], "lat double, lon double")
-    assert nearest(rows, df, "lat", "lon", "id", "plat", "plon", "p").first()["p"] == 3
+@pytest.mark.parametrize("listed", [2000, 0])
+def test_nearest_tie_takes_smaller_key(spark, listed):
+    df = spark.createDataFrame([(7, 1.0, 1.0), (3, 1.0, 1.0), (9, 1.0, 2.0), (8, 1.0, 2.0)], "id int, plat double, plon double")
+    rows = spark.createDataFrame([(1.0, 1.5), (1.0, 1.9)], "lat double, lon double")
+    got = nearest(rows, df, "lat", "lon", "id", "plat", "plon", "p", listed).collect()
+    # Midway the two spots are apart by rounding at most; both searches decide alike.
+    want = nearest(rows, df, "lat", "lon", "id", "plat", "plon", "p").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and {r["p"] for r in got if r["lon"] == 1.9} == {8}
+
+
+def test_tree_of_places_equals_the_list(spark):
+    """A dense town, a sparse world, spots a hair apart and several places on one spot."""
+    rng = random.Random(4)
+    spots = [(rng.gauss(48.1, 0.02), rng.gauss(11.5, 0.02)) for _ in range(1200)]
+    spots += [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(600)]
+    spots += [(10.0 + k * 1e-5, 20.0) for k in range(100)] + spots[:100] + [(90.0, 0.0), (-90.0, 3.0), (0.0, 180.0), (0.0, -180.0)]
+    keys = list(range(len(spots)))
+    rng.shuffle(keys)
+    places_ = spark.createDataFrame([(k, a, b) for k, (a, b) in zip(keys, spots)], "id int, plat double, plon double")
+    asked = [(rng.gauss(48.1, 0.05), rng.gauss(11.5, 0.05)) for _ in range(300)]
+    asked += [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(300)]
+    asked += spots[:50] + [(10.0, 20.0), (10.0 + 5e-4, 20.0), (None, 1.0), (0.0, 179.9)]
+    rows = spark.createDataFrame(asked, "lat double, lon double")
+    tree = nearest(rows, places_, "lat", "lon", "id", "plat", "plon", "p", 0, 4).collect()
+    listed = nearest(rows, places_, "lat", "lon", "id", "plat", "plon", "p", 5000).collect()
+    assert sorted(map(str, tree)) == sorted(map(str, listed)) and len(tree) == len(asked)
+
+
+def test_a_position_meets_few_cells_of_a_dense_town(spark, monkeypatch):
+    """100,000 places in one town: no round of the search grows with them."""
+    import millrace.operators.joins as j
+
+    met = []
+    plain = j.materialize
+
+    def counted(df, name="cut"):
+        table = plain(df, name)
+        if name == "met":
+            met.append(table.count())
+        return table
+
+    monkeypatch.setattr(j, "materialize", counted)
+    town = spark.range(100_000).selectExpr(
+        "id", "48D + (pmod(xxhash64(id), 100003) / 100003D) * 0.2D as plat",
+        "11D + (pmod(xxhash64(id, 1), 100019) / 100019D) * 0.2D as plon")
+    rows = spark.range(200).selectExpr("48D + id * 0.001D as lat", "11D + id * 0.001D as lon")
+    got = nearest(rows, town, "lat", "lon", "id", "plat", "plon", "p")
+    assert len(got.collect()) == 200 and max(met) < 200 * 100
+    some = [r["p"] for r in got.filter("lat < 48.02").orderBy("lat").collect()]
+    points = [tuple(r) for r in town.collect()]
+    for lat, want in zip([48 + i * 0.001 for i in range(5)], some):
+        near = (p for p in points if abs(p[1] - lat) < 0.02 and abs(p[2] - lat + 37) < 0.02)
+        assert min((km((lat, lat - 37), p[1:]), p[0]) for p in near)[1] == want
+
+
+def test_a_crowded_cell_is_met_block_by_block(spark):
+    """One place holds most people: no task gets more than a block of either side, and far blocks never meet."""
+    people = spark.range(6000).selectExpr(
+        "1 as g", "id as u", "50D + (pmod(xxhash64(id), 1009) / 1009D) * 0.008D as lat",
+        "8D + (pmod(xxhash64(id, 2), 1013) / 1013D) * 0.012D as lon")
+    got = pairs_within(people, "g", "u", "lat", "lon", 0.2, 200)
+    plan = people.selectExpr("u as a", "lat as la", "lon as lo").collect()
+    import numpy as np
+
+    lat, lon = (np.radians([r[c] for r in plan]) for c in ("la", "lo"))
+    order = [r["a"] for r in plan]
+    want = 0
+    for i in range(len(order)):
+        h = np.sin((lat - lat[i]) / 2) ** 2 + np.cos(lat) * np.cos(lat[i]) * np.sin((lon - lon[i]) / 2) ** 2
+        want += int((2 * 6371 * np.arcsin(np.sqrt(h)) <= 0.2).sum()) - 1
+    assert got.count() == want // 2
+
+
+def test_all_people_on_one_spot(spark):
+    people = spark.range(90).selectExpr("1 as g", "id as u", "50D as lat", "8D as lon")
+    assert pairs_within(people, "g", "u", "lat", "lon", 1.0, 20).count() == 90 * 89 // 2
 
 
 @pytest.mark.parametrize("center", [(0.0, 0.0), (-33.8, 151.2), (64.0, 179.9995), (89.99, 10.0), (-89.999, 0.0)])
