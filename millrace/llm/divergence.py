@@ -37,7 +37,7 @@ from millrace.llm.texts import binary
 SCALE = 1_000_000_000
 TILE, BLOCK = 64, 4096
 #: Distinct terms that a task holds before it hands them on.
-HELD = 1 << 18
+HELD = 1 << 19
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 _CHUNK = 512
 
