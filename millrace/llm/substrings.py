@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import lookups
-from millrace.llm.tables import parts_for, text_bytes
+from millrace.llm.tables import parts_for
 from millrace.llm.texts import Texts, U, binary, splitmix
 
 LENGTH, GRAM = 50, 18
@@ -44,7 +44,7 @@ SPAN = LENGTH - GRAM + 1  # grams of a string
 LEFT = SPAN - 1  # bytes that may lie before an anchor in a string
 _PLACE = U(28)  # low bits that hold a place while minima slide
 _NULL = np.iinfo(np.int64).max
-SAMPLED_ROWS = 4096
+SAMPLED_ROWS = 64  # rows that splitters are drawn from, for each bucket
 _SLICE = 1 << 20  # bytes whose grams are hashed at a time
 
 ENTRY = np.dtype([("key", "<i8"), ("row", "<u4"), ("at", "<u4"), ("low", "u1"), ("high", "u1"),
@@ -208,8 +208,13 @@ def _lead(near: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(near[:, LEFT: LEFT + 8]).view(">u8")[:, 0].astype(U)
 
 
-def splitters(rows: DataFrame, buckets: int) -> np.ndarray:
-    """``buckets - 1`` leading keys, sampled from the anchors of a bounded number of rows."""
+def splitters(rows: DataFrame, buckets: int, total: int) -> np.ndarray:
+    """``buckets - 1`` leading keys from the anchors of about ``SAMPLED_ROWS`` rows a bucket.
+
+    The rows are drawn from all ``total`` ones by a hash of key and text, so wherever a text lies in the table it may
+    be drawn, and the sample grows with the number of buckets. Many rows alike in both are drawn together; no more
+    than four times the wanted rows are looked at.
+    """
 
     def leads(batches):
         for batch in batches:
@@ -221,7 +226,9 @@ def splitters(rows: DataFrame, buckets: int) -> np.ndarray:
                     yield pa.RecordBatch.from_arrays(
                         [binary([np.ascontiguousarray(near).tobytes()])], names=["leads"])
 
-    some = rows.select("text").filter(F.octet_length("text") >= LENGTH).limit(SAMPLED_ROWS)
+    every = max(1, total // (SAMPLED_ROWS * buckets))
+    drawn = F.pmod(F.xxhash64("key", F.octet_length("text"), F.substring("text", 1, 64)), F.lit(every)) == 0
+    some = rows.filter(drawn & (F.octet_length("text") >= LENGTH)).select("text").limit(4 * SAMPLED_ROWS * buckets)
     cells = [r.leads for r in some.mapInArrow(leads, "leads binary").collect()]
     found = np.sort(np.frombuffer(b"".join(cells), ">u8").astype(U))
     if not len(found) or buckets < 2:
@@ -238,9 +245,10 @@ def spans(docs: DataFrame, finish: Callable[[Texts, list[np.ndarray]], dict[str,
           key: str = "doc_id", text: str = "text", block_bytes: int = lookups.BLOCK_BYTES) -> DataFrame:
     """The key and what ``finish`` makes of each block's texts and their removed runs (start, end)."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    n = parts_for(text_bytes(rows), block_bytes)
+    size = rows.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"), F.count("*").alias("rows")).first()
+    n = parts_for(size["bytes"], block_bytes)
     blocked = lookups.dealt(rows, n, "key", "text")
-    cuts = splitters(rows, n)
+    cuts = splitters(rows, n, size["rows"])
 
     def keys_of(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(anchors(_ordered(group)[0])[3], return_counts=True)

@@ -87,3 +87,15 @@ def test_multikey_order_sorts_rows():
     words = rng.integers(0, 3, (5000, 5)).astype(np.uint64)
     got = words[substrings.multikey_order(words)]
     assert got.tolist() == sorted(words.tolist())
+
+
+def test_splitters_come_from_all_rows(spark, monkeypatch):
+    """The start of the table holds one leading key only; the sample must see the rest, and grows with the buckets."""
+    monkeypatch.setattr(substrings, "SAMPLED_ROWS", 8)
+    rng = random.Random(6)
+    rows = [(i, "a" * 80) for i in range(1500)]
+    rows += [(i, "".join(rng.choice("abcdefghijklmnop") for _ in range(400))) for i in range(1500, 3000)]
+    docs = spark.createDataFrame(rows, "key bigint, text string").coalesce(1)
+    few, many = (substrings.splitters(docs, n, len(rows)) for n in (4, 32))
+    assert len(few) == 3 and len(many) == 31 and len(set(many.tolist())) > 5
+    assert substrings.splitters(docs, 1, len(rows)).tolist() == [] and len(substrings.splitters(docs.limit(0), 4, 0)) == 0
