@@ -51,3 +51,29 @@ def test_empty_table_passes(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = materialize(stage(spark, docs, SF), name)
     assert docs.count() == 0
+
+
+def test_odd_rows_pass_every_stage(spark):
+    """Null ids and texts, repeated rows, an empty, a long and a one-word text, and columns with the stages' own names."""
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    text = docs.filter("length(text) > 400").orderBy("doc_id").first()["text"]
+    odd = spark.createDataFrame(
+        [(None, text + " tail of its own", "en", None, 1), (90001, None, None, "s", None), (90002, "", "en", "s", 0),
+         (90003, "word", "en", "s", 4), (90004, text[:300] + "x " * 400_000, "en", "s", 9), *[(90005, text, "de", "s", 5)] * 40],
+        docs.schema)
+    docs = docs.unionByName(odd).selectExpr("*", "'keep' as score", "1 as size", "'b' as bands")
+    columns = docs.columns
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = Counter((r.doc_id, r.lang) for r in docs.collect())
+        docs = materialize(stage(spark, docs, small), name)
+        after = Counter((r.doc_id, r.lang) for r in docs.collect())
+        assert set(after) <= set(before), name
+        assert i == 4 or docs.columns == columns, name
+        if name in ("quality", "near_duplicates"):
+            assert all(after[k] <= before[k] for k in after), name
+        if name == "personal_data":
+            assert after == before
+        if i < 4:
+            assert {r.score for r in docs.collect()} == {"keep"}
+    assert docs.columns == ["doc_id", "lang", "source", "n_tokens", "ids"]

@@ -80,3 +80,33 @@ def test_a_repeated_key_brings_no_more_texts(spark, monkeypatch):
     quality.fit(docs, labels, per_class=5)
     (texts, wanted), = seen
     assert len(texts) == 7 and (wanted == 1).sum() == 5 and {b"text number 2", b"text number 4"} <= set(texts)
+
+
+def plain_logit(net, text):
+    """One text's logit, byte by byte."""
+    w = {k: v.astype(np.float64) for k, v in net.weights.items()}
+    wide = quality.HALF * quality.STEP
+    halves = (len(text) + quality.STEP) // wide + 1
+    top = np.full((halves, quality.FILTERS), -1e9)
+    for i in range(halves):
+        for start in range(i * wide, (i + 1) * wide, quality.STEP):
+            if start == 0 or start + quality.WIDTH - quality.STEP < len(text):
+                z = np.zeros(quality.FILTERS)
+                for j in range(quality.WIDTH):
+                    byte = text[start + j] if start + j < len(text) else quality.PAD
+                    z += w["embed"][byte] @ w["filter"][j * quality.EMBED: (j + 1) * quality.EMBED]
+                top[i] = np.maximum(top[i], z)
+    chunks = [np.maximum(top[i], top[i + 1]) for i in range(halves - 1)] or [top[0]]
+    act = np.array([np.maximum(c + w["bias"], 0) for c in chunks])
+    length = np.log1p(len(text)) / 8
+    pooled = np.concatenate([act.mean(0), act.max(0), [length, length ** 2]])
+    return float(np.tanh(pooled @ w["hidden"] + w["shift"]) @ w["out"] + w["base"][0])
+
+
+def test_scores_equal_byte_by_byte():
+    net, rng = quality.Network.fresh(), np.random.default_rng(8)
+    net.weights["bias"] += 0.3
+    sizes = [0, 1, 4, 7, 8, 9, 251, 252, 253, 255, 256, 257, 511, 512, 513, 767, 768, 1500]
+    texts = [bytes(rng.integers(0, 256, n, np.uint8)) for n in sizes]
+    got = net.score(Texts.from_list(texts), limit=700)
+    assert np.allclose(got, [1 / (1 + np.exp(-plain_logit(net, t))) for t in texts], atol=1e-5)
