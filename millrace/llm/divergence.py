@@ -117,7 +117,8 @@ def weights(count: np.ndarray, total: np.ndarray) -> np.ndarray:
 def _block_sums(block: pa.Table) -> pa.Table:
     """lang, a, b, value: the differences of each pair of sources, a from the lower tile, over the terms of one block.
 
-    Rows without term name the sources of both tiles with their totals.
+    Rows without term name the sources of both tiles with their totals; their count is the number of the block's terms.
+    Terms that occur in neither tile are no rows, but the sources' totals set them apart as well.
     """
     named = block.filter(pc.is_null(block.column("term")))
     cells = block.filter(pc.is_valid(block.column("term")))
@@ -128,14 +129,17 @@ def _block_sums(block: pa.Table) -> pa.Table:
     counts = np.zeros((len(term.dictionary), len(names)), np.int64)
     source = np.fromiter((place[s] for s in cells.column("source").to_pylist()), np.int64, len(cells))
     counts[term.indices.to_numpy(), source] = cells.column("count").to_numpy()
-    p = weights(counts, named.column("total").to_numpy()[None, :])
+    total = named.column("total").to_numpy()
+    p = weights(counts, total[None, :])
+    absent, bare = named.column("count")[0].as_py() - len(counts), weights(np.zeros(len(names), np.int64), total)
     low, high = block.column("low")[0].as_py(), block.column("high")[0].as_py()
     out = []
     for i, name in enumerate(names):
         others = [j for j in range(len(names)) if tiles[i] == low and tiles[j] == high and (low < high or name < names[j])]
         if others:
             gap, both = p[:, i: i + 1] - p[:, others], p[:, i: i + 1] + p[:, others]
-            out += [(name, names[j], int(v)) for j, v in zip(others, (gap * gap // both).sum(0), strict=True)]
+            rest = (bare[i] - bare[others]) ** 2 // (bare[i] + bare[others]) * absent
+            out += [(name, names[j], int(v)) for j, v in zip(others, (gap * gap // both).sum(0) + rest, strict=True)]
     return pa.Table.from_arrays(
         [pa.array([block.column("lang")[0].as_py()] * len(out), pa.string()), pa.array([r[0] for r in out], pa.string()),
          pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.int64())],
@@ -156,9 +160,11 @@ def pair_sums(kept: DataFrame, groups: DataFrame) -> DataFrame:
             F.greatest("tile", "other").alias("high"))
 
     cells = kept.join(langs, "lang").withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
+    sizes = cells.filter("first").groupBy("lang", "block").agg(F.count("*").alias("count"))
     names = groups.join(langs, "lang").select(
-        "lang", "source", "tiles", F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("count"),
-        (F.col("n") + 2 * F.col("terms")).alias("total"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        "lang", "source", "tiles", F.lit(None).cast("string").alias("term"),
+        (F.col("n") + 2 * F.col("terms")).alias("total"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    ).join(sizes, ["lang", "block"], "left").na.fill(0, ["count"])
     sums = met(cells.withColumn("total", F.lit(0).cast("bigint"))).unionByName(met(names)).groupBy(
         "lang", "low", "high", "block").applyInArrow(_block_sums, "lang string, a string, b string, value bigint")
     whole = sums.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
