@@ -355,6 +355,20 @@ def test_friend_candidates(spark):
     assert sorted((r["user_left"], r["user_right"]) for r in got.collect()) == [(1, 3), (2, 3)]
 
 
+def test_courier_ledger_is_dealt_by_rows(spark):
+    """Many small tasks give the sums of one; the number of tasks follows the rows."""
+    rows = [(f"{i // 2}", f"2024-0{i % 3 + 1}-05", i % 4, i % 5 + 1, f"{100 + i}.00", "1.50") for i in range(200)]
+    d = frame(spark, "order_id string, order_ts string, courier_id int, rate int, sum string, "
+              "tip_sum string", rows, "order_ts")
+    d = d.withColumns({c: F.col(c).cast("decimal(12,2)") for c in ("sum", "tip_sum")})
+    names = spark.createDataFrame([(i, f"n{i}") for i in range(4)], "courier_id int, name string")
+    whole, cut = (restaurants.courier_ledger(d, names, rows=n) for n in (1000, 7))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, cut.collect()))
+    orders = {(c, m): len({i // 2 for i in range(200) if i % 4 == c and i % 3 + 1 == m}) for c in range(4) for m in (1, 2, 3)}
+    assert {(r["courier_id"], r["settlement_month"]): r["orders_count"] for r in cut.collect()} == orders
+    assert ", 29" in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_group_conversion(spark):
     g = frame(spark, "group_id int, hk_group_id string, registration_dt string",
               [(1, "g1", "2020-01-01"), (2, "g2", "2020-01-02"), (3, "g3", "2020-01-03")],
