@@ -241,9 +241,13 @@ def pairs_within(
     lon: str,
     radius_km: float,
     block: int = 2000,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Unordered pairs (``left_key`` < ``right_key``) sharing a ``group`` within ``radius_km``.
 
+    With ``carry`` a pair comes once for each group and meeting of its positions, as it is found and without a shuffle
+    of pairs: ``group``, the keys, and the columns named of both people in the structs ``left`` and ``right``.
+
     Only people of one group in touching grid cells are compared. A crowded cell is cut into smaller cells, and these,
     if people still crowd there, into blocks of about ``block``. A block of one cell meets only blocks that its bounds
     do not put out of reach, each in a task of its own: no task sees more than a block of either side.
@@ -251,8 +255,9 @@ def pairs_within(
     grid = Grid(radius_km)
     placed = people.select(
         F.col(group).alias("_g"), F.col(key).alias("_k"),
-        F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
-    ).dropna().distinct().withColumn("_cell", grid.cell("_lat", "_lon"))
+        F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), *([F.struct(*carry).alias("_with")] if carry else []),
+    ).dropna(subset=["_g", "_k", "_lat", "_lon"]).distinct().withColumn("_cell", grid.cell("_lat", "_lon"))
+    own = ["_with"] if carry else []
     crowded = materialize(
         placed.groupBy("_g", "_cell")
         .agg(F.count(F.lit(1)).alias("_size"), *[f(c).alias(f"_{f.__name__}{c}") for c in ("_lat", "_lon")
@@ -268,22 +273,22 @@ def pairs_within(
 
     spot = ["_g", "_cell", "_row", "_column"]
     within = placed.join(crowded, ["_g", "_cell"]).withColumns({"_row": part("_lat"), "_column": part("_lon")}).select(
-        *spot, "_k", "_lat", "_lon")
+        *spot, "_k", "_lat", "_lon", *own)
     tight = within.groupBy(*spot).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks"))
     within = materialize(within.join(tight, spot).withColumn(
         "_block", F.struct("_row", "_column", F.pmod(F.xxhash64("_k"), F.col("_blocks")).cast("int").alias("_no"))), "within")
     blocks = within.groupBy("_g", "_cell", "_block").agg(
         *[f(c).alias(f"_{f.__name__}{c}") for c in ("_lat", "_lon") for f in (F.min, F.max)])
 
-    point = ["_g", "_cell", "_k", "_lat", "_lon"]
+    point = ["_g", "_cell", "_k", "_lat", "_lon", *own]
     plain = placed.join(crowded.select("_g", "_cell"), ["_g", "_cell"], "left_anti").select(
         *point, F.lit(None).cast(within.schema["_block"].dataType).alias("_block"))
     everyone = plain.unionByName(within.select(*point, "_block"))
     left = everyone.select("_g", "_cell", F.col("_block"), F.col("_k").alias("_lk"), F.col("_lat").alias("_llat"),
-                           F.col("_lon").alias("_llon"))
+                           F.col("_lon").alias("_llon"), *[F.col(c).alias("_lwith") for c in own])
     looking = everyone.select(
         "_g", F.col("_k").alias("_rk"), F.col("_lat").alias("_rlat"), F.col("_lon").alias("_rlon"),
-        F.col("_cell").alias("_home"), F.col("_block").alias("_of"),
+        F.col("_cell").alias("_home"), F.col("_block").alias("_of"), *[F.col(c).alias("_rwith") for c in own],
         F.explode(grid.forward_cells("_lat", "_lon")).alias("_cell"),
     )
     # Inside one band both orders of a pair turn up, between bands only one does.
@@ -291,10 +296,14 @@ def pairs_within(
     near = haversine_km("_llat", "_llon", "_rlat", "_rlon") <= radius_km
     wanted = (F.col("_lk") != F.col("_rk")) & once & near
     pair = [F.least("_lk", "_rk").alias("left_key"), F.greatest("_lk", "_rk").alias("right_key")]
+    if carry:
+        turned = F.col("_lk") > F.col("_rk")
+        pair = [F.col("_g").alias("group"), *pair, F.when(turned, F.col("_rwith")).otherwise(F.col("_lwith")).alias("left"),
+                F.when(turned, F.col("_lwith")).otherwise(F.col("_rwith")).alias("right")]
     thin = left.filter(F.col("_block").isNull()).join(looking.drop("_of"), ["_g", "_cell"]).filter(wanted).select(*pair)
 
     if crowded.isEmpty():
-        return thin.distinct()
+        return thin if carry else thin.distinct()
     # People who look into a crowded cell meet those of its blocks that they can reach, sorted by where they come from.
     reach = looking.join(blocks, ["_g", "_cell"]).filter(
         apart_km("_rlat", "_rlon", "_min_lat", "_max_lat", "_min_lon", "_max_lon") <= radius_km).select(
@@ -303,4 +312,4 @@ def pairs_within(
     meets = reach.select("_g", "_cell", "_block", "_from").distinct()
     thick = left.join(meets, ["_g", "_cell", "_block"]).join(reach, ["_g", "_cell", "_block", "_from"]).filter(
         wanted).select(*pair)
-    return thin.unionByName(thick).distinct()
+    return thin.unionByName(thick) if carry else thin.unionByName(thick).distinct()

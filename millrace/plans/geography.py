@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.sphere import haversine_km
 from millrace.functions.values import local_time
 from millrace.operators.chunked import carried, runs, sized_chunk
 from millrace.operators.joins import nearest, pairs_within
+from millrace.session import materialize
 
 
 def flat(events: DataFrame) -> DataFrame:
@@ -131,30 +133,29 @@ def zone_activity(events: DataFrame, cities: DataFrame, chunk: str = "hour") ->
 
 
 def friend_candidates(
-    events: DataFrame, cities: DataFrame, now: str, radius_km: float = 1.0, block: int = 2000
+    events: DataFrame, cities: DataFrame, now: str, radius_km: float = 1.0, block: int = 2000, listed: int = 1000
 ) -> DataFrame:
     """Pairs of users in one channel, at most ``radius_km`` apart, who never wrote to each other.
 
-    A user stands where the last message was sent from. Every pair of a crowded place is a row, as the
-    mart asks for pairs.
+    A user stands where the last message was sent from. Every pair of a crowded place is a row, as the mart asks for
+    pairs, but no pair is shuffled: people bring along what decides on a pair and what its row shows. That is their
+    home, the channels before the one they meet in (a pair counts in the first one it shares) and people nearby with
+    whom they exchanged messages. Users with more than ``listed`` channels or such people bring no lists; their pairs
+    are freed of repetitions and of those who wrote by a grouping and a join.
     """
     rows = flat(events)
     sent = F.col("event_type") == "message"
-    last = (
+    last = materialize(
         rows.filter(sent & F.col("lat").isNotNull() & F.col("lon").isNotNull())
         .groupBy("user_id")
         .agg(F.max_by(F.struct("lat", "lon", "ts"), F.struct("ts", "event_id")).alias("_l"))
-        .select("user_id", "_l.*")
+        .select("user_id", "_l.*"), "last"
     )
     subscribed = (
         rows.filter((F.col("event_type") == "subscription") & F.col("channel").isNotNull())
         .select("channel", "user_id")
         .distinct()
     )
-    near = pairs_within(
-        subscribed.join(last.select("user_id", "lat", "lon"), "user_id"),
-        "channel", "user_id", "lat", "lon", radius_km, block,
-    )
     wrote = (
         rows.filter((F.col("event_type") == "message") & F.col("message_to").isNotNull())
         .select(
@@ -165,15 +166,61 @@ def friend_candidates(
     )
     home = nearest_city(last, cities).join(
         cities.select(F.col("id").alias("zone_id"), "timezone"), "zone_id", "left"
+    ).select("user_id", F.struct("zone_id", local_time("ts", "timezone").alias("local_time")).alias("home"))
+    channels = subscribed.groupBy("user_id").agg(F.count("*").alias("_n"), F.collect_set("channel").alias("_all"))
+    users = (
+        last.select("user_id", "lat", "lon")
+        .join(home, "user_id")
+        .join(channels, "user_id")
+        .join(_correspondents(wrote, last, radius_km), "user_id", "left")
+        .withColumn("short", (F.col("_n") <= listed) & (F.coalesce(F.size("_others"), F.lit(0)) <= listed))
     )
-    return (
-        near.join(wrote, ["left_key", "right_key"], "left_anti")
-        .join(home, F.col("left_key") == F.col("user_id"))
-        .select(
-            F.col("left_key").alias("user_left"),
-            F.col("right_key").alias("user_right"),
-            "zone_id",
-            F.lit(now).cast("timestamp_ntz").alias("processed_dttm"),
-            local_time("ts", "timezone").alias("local_time"),
-        )
+    met = materialize(
+        users.select(
+            "user_id", "lat", "lon", "home", "short", F.when(F.col("short"), F.coalesce("_others", F.array())).alias("others"),
+            F.when(F.col("short"), F.col("_all")).alias("_all"))
+        .join(subscribed, "user_id")
+        .withColumn("earlier", F.filter("_all", lambda c: c < F.col("channel")))
+        .drop("_all"), "met"
     )
+    near = pairs_within(
+        met, "channel", "user_id", "lat", "lon", radius_km, block, ["home", "short", "earlier", "others"])
+    both = F.col("left.short") & F.col("right.short")
+    apart = ~(
+        F.arrays_overlap("left.earlier", "right.earlier")
+        | F.array_contains("left.others", F.col("right_key")) | F.array_contains("right.others", F.col("left_key"))
+    )
+    shown = ["left_key", "right_key", "left.home"]
+    pairs = near.filter(F.when(both, apart)).select(*shown)
+    if not met.filter(~F.col("short")).isEmpty():
+        rest = near.filter(~both).select(*shown).distinct()
+        pairs = pairs.unionByName(rest.join(wrote, ["left_key", "right_key"], "left_anti"))
+    return pairs.select(
+        F.col("left_key").alias("user_left"),
+        F.col("right_key").alias("user_right"),
+        "home.zone_id",
+        F.lit(now).cast("timestamp_ntz").alias("processed_dttm"),
+        "home.local_time",
+    )
+
+
+def _correspondents(wrote: DataFrame, last: DataFrame, radius_km: float) -> DataFrame:
+    """user_id, _others: of each two users near each other who wrote, the one with fewer such others names the other."""
+    def spot(side: str) -> DataFrame:
+        return last.select(F.col("user_id").alias(f"{side}_key"), *[F.col(c).alias(f"{side}_{c}") for c in ("lat", "lon")])
+
+    # A hair more than the radius: the distance may be rounded otherwise where the pair is found the other way round.
+    near = haversine_km("left_lat", "left_lon", "right_lat", "right_lon") <= radius_km * (1 + 1e-6) + 1e-6
+    pairs = wrote.filter(F.col("left_key") < F.col("right_key")).join(spot("left"), "left_key").join(
+        spot("right"), "right_key").filter(near).select("left_key", "right_key")
+    counts = pairs.select(F.explode(F.array("left_key", "right_key")).alias("user_id")).groupBy("user_id").agg(
+        F.count("*").alias("_n"))
+
+    def count(side: str) -> DataFrame:
+        return counts.select(F.col("user_id").alias(f"{side}_key"), F.col("_n").alias(f"_{side}"))
+
+    fewer = F.col("_left") <= F.col("_right")
+    return pairs.join(count("left"), "left_key").join(count("right"), "right_key").select(
+        F.when(fewer, F.col("left_key")).otherwise(F.col("right_key")).alias("user_id"),
+        F.when(fewer, F.col("right_key")).otherwise(F.col("left_key")).alias("_other"),
+    ).groupBy("user_id").agg(F.collect_list("_other").alias("_others"))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.plans import bank, geography, groups, loyalty, restaurants, sales, taxi, turnover
@@ -355,6 +358,46 @@ def test_friend_candidates(spark):
     assert sorted((r["user_left"], r["user_right"]) for r in got.collect()) == [(1, 3), (2, 3)]
 
 
+def _crowd(seed: int, people: int) -> list[tuple]:
+    """Users in two places and several channels, who write to a few of each other and to user 0 above all."""
+    draw = random.Random(seed)
+    rows, ids = [], itertools.count()
+    for u in range(people):
+        at = (10.0 + draw.choice([0, 0.004, 0.02]), 20.0)
+        rows += [(next(ids), "subscription", u, None, c, *at, "2024-01-01 00:00:00") for c in draw.choices("abcdef", k=3)]
+        for to in (0, *draw.choices(range(people), k=2)):
+            rows.append((next(ids), "message", u, draw.choice([to, None]), None, *at, "2024-01-02 00:00:00"))
+    return rows
+
+
+def _friends(rows: list[tuple]) -> list[tuple]:
+    joined, wrote, at = {}, set(), {}
+    for _, kind, u, to, channel, lat, _, _ in rows:
+        if kind == "message":
+            wrote |= {(u, to), (to, u)}
+            at[u] = lat
+        else:
+            joined.setdefault(u, set()).add(channel)
+    return sorted((a, b) for a in joined for b in joined if a < b and joined[a] & joined[b] and (a, b) not in wrote
+                  and abs(at[a] - at[b]) < 0.008)
+
+
+@pytest.mark.parametrize("block,listed", [(2000, 1000), (5, 1000), (2000, 2), (5, 2), (2000, 0)])
+def test_friend_candidates_of_a_crowd(spark, block, listed):
+    """Every pair once, whatever channels it shares, with and without lists and blocks."""
+    rows = _crowd(3, 60)
+    got = geography.friend_candidates(
+        geo(spark, rows), cities(spark), "2024-03-01 00:00:00", block=block, listed=listed)
+    assert sorted((r["user_left"], r["user_right"]) for r in got.collect()) == _friends(rows)
+
+
+def test_friend_candidates_shuffle_no_pairs(spark):
+    """Pairs are neither grouped nor joined once they are found."""
+    got = geography.friend_candidates(geo(spark, _crowd(4, 30)), cities(spark), "2024-03-01 00:00:00")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [left_key" not in plan and "(left_key" not in plan
+
+
 def test_courier_ledger_is_dealt_by_rows(spark):
     """Many small tasks give the sums of one; the number of tasks follows the rows."""
     rows = [(f"{i // 2}", f"2024-0{i % 3 + 1}-05", i % 4, i % 5 + 1, f"{100 + i}.00", "1.50") for i in range(200)]
