@@ -117,3 +117,15 @@ def test_weights_of_large_counts():
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert difference(spark_rows(divergence.divergence(docs)), duck(SF, divergence.SQL)) is None
+
+
+def test_terms_come_in_pieces(monkeypatch):
+    """Pieces end between terms; long terms stay whole."""
+    text = "Über x-Y 12zz\tÀB\x85c " + "Q" * 40 + "\n\x7fend"
+    whole = re.findall(rb"[A-Za-z\x80-\xff]+", text.encode().lower())
+    for piece in (1, 3, 17, 1 << 18):
+        monkeypatch.setattr(divergence, "PIECE", piece)
+        parts = list(divergence.terms_of(text.encode()))
+        assert [t for p in parts for t in p] == whole
+        assert piece > 99 or len(parts) > 2
+    assert list(divergence.terms_of(b"")) == []
