@@ -1,8 +1,9 @@
 """Byte-pair encoding by a public tokenizer file, with reuse of what has been encoded before.
 
 ``Encoder`` gives exactly the ids of the tokenizers library for whole texts. Between a character that is no white
-space and a following ASCII white-space character the pre-tokenizer always cuts, so a text falls into pieces that can
-be encoded apart; equal pieces are encoded once, and their ids are kept, in bounded memory, for the worker's life.
+space and a following ASCII white-space character the pre-tokenizer always cuts, as between ASCII letters or digits and
+signs (but not behind an apostrophe, nor at signs that added tokens hold), so a text falls into pieces that can be
+encoded apart; equal pieces are encoded once, and their ids are kept, in bounded memory, for the worker's life.
 
 ``encode`` reuses whole passages across the corpus: a rolling hash cuts texts into chunks by content alone, chunks that
 stand more than once are encoded once, and the joins between chunks are mended by encoding a window around them again.
@@ -26,12 +27,15 @@ from millrace.llm.texts import BYTE_HASH, SEPARATOR, Texts, U, binary
 
 #: Pieces that a worker remembers; beyond that it starts over with those at hand.
 MEMORY = 1_000_000
-_JOINED = 1 << 15  # bytes of pieces handed to the tokenizer as one text
+TABLE_BITS = 22
+_JOINED = 1 << 11  # bytes of pieces handed to the tokenizer as one text
 
 
 #: Bytes that are a character which is surely no white space: ASCII letters, digits and signs.
 _SOLID = np.zeros(256, bool)
 _SOLID[0x21:0x7F] = True
+_WORD = np.zeros(256, bool)
+_WORD[[b for b in range(128) if chr(b).isalnum()]] = True
 
 
 def default_path() -> str:
@@ -81,6 +85,11 @@ class Encoder:
         self.tokenizer.no_padding()
         byte_of = _byte_of_char()
         special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        # Signs that no added token holds, and bytes that may stand behind a line's end without changing it.
+        self.signs, self.heads = _SOLID & ~_WORD, _SOLID.copy()
+        for content in filter(None, special.values()):
+            self.signs[list(content.encode())] = False
+            self.heads[content.encode()[0]] = False
         words = sorted((i, w) for w, i in self.tokenizer.get_vocab(with_added_tokens=True).items())
         size = words[-1][0] + 1
         spelled = [b""] * size
@@ -92,45 +101,59 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.keys, self.first, self.count = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # A row of no piece comes first; ``table`` has the row of the last piece with these high bits of the key.
+        self.keys, self.first, self.count = np.zeros(1, U), np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.table = np.zeros(1 << TABLE_BITS, np.int32)
+
+    def cuts(self, data: np.ndarray) -> np.ndarray:
+        """As the function ``cuts``, and between words and signs."""
+        word, sign = _WORD[data], self.signs[data]
+        cut = np.zeros(len(data), bool)
+        cut[1:] = (word[:-1] & sign[1:]) | (sign[:-1] & word[1:] & (data[:-1] != ord("'")))
+        cut[cuts(data)] = True
+        return np.flatnonzero(cut)
 
     def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts],
+                                                 add_special_tokens=False)
         return [np.array(f.ids, np.uint32) for f in found]
 
     def _learn(self, texts: Texts, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Encodes pieces with new keys and remembers them."""
         data = texts.data
-        joins = SEPARATOR[data[starts]] & after_solid(data, ends)  # may stand next to each other in one text
+        # Pieces may stand next to each other in one text if they start with white space and end without; a line's end,
+        # always a token of its own there, is put before those that start with a sign or word.
+        closed, spaced = after_solid(data, ends), SEPARATOR[data[starts]]
+        joins, lined = closed & (spaced | self.heads[data[starts]]), closed & ~spaced & self.heads[data[starts]]
         raw = data.tobytes()
-        pieces = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        pieces = [b"\n" + raw[a:b] if line else raw[a:b]
+                  for a, b, line in zip(starts.tolist(), ends.tolist(), lined.tolist(), strict=True)]
         count = np.zeros(len(keys), np.int64)
-        ids: list[np.ndarray] = []
         # Alone: those that start or end a text in a way that neighbours could change.
         alone = np.flatnonzero(~joins)
-        single = self._plain([pieces[i] for i in alone])
-        count[alone] = [len(s) for s in single]
-        ids += single
+        ids = self._plain([pieces[i] for i in alone])
+        count[alone] = [len(s) for s in ids]
         # Together, cut apart again by the widths of the tokens.
         many = np.flatnonzero(joins)
-        width = ends[many] - starts[many]
+        width = ends[many] - starts[many] + lined[many]
         batch = np.cumsum(width) // _JOINED
         bounds = np.append(np.flatnonzero(np.diff(batch, prepend=-1)), len(many)) if len(many) else np.zeros(1, int)
-        texts_ = [b"".join([pieces[i] for i in many[a:b]]) for a, b in zip(bounds, bounds[1:], strict=False)]
-        for at in range(0, len(texts_), 64):
-            for k, got in enumerate(self._plain(texts_[at: at + 64])):
-                a, b = bounds[at + k], bounds[at + k + 1]
-                ends_ = np.searchsorted(np.cumsum(self.width[got]), np.cumsum(width[a:b])) + 1
-                count[many[a:b]] = np.diff(ends_, prepend=0)
-                ids.append(got)
+        texts_ = [b"".join([pieces[i] for i in many[a:b].tolist()]) for a, b in zip(bounds, bounds[1:], strict=False)]
+        for at in range(0, len(texts_), 1024):
+            got = np.concatenate(self._plain(texts_[at: at + 1024]))
+            here = slice(bounds[at], bounds[min(at + 1024, len(texts_))])
+            ends_ = np.searchsorted(np.cumsum(self.width[got]), np.cumsum(width[here])) + 1
+            count[many[here]] = np.diff(ends_, prepend=0)
+            ids.append(got)
         order = np.concatenate([alone, many])
         first = np.zeros(len(keys), np.int64)
         first[order] = np.cumsum(count[order]) - count[order] + len(self.ids)
+        first, count = first + lined, count - lined
         self.ids = np.concatenate([self.ids, *ids])
-        keys, first, count = (np.concatenate(p) for p in ((self.keys, keys), (self.first, first), (self.count, count)))
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.first, self.count = keys[order], first[order], count[order]
+        self.table[keys >> U(64 - TABLE_BITS)] = np.arange(len(self.keys), len(self.keys) + len(keys))
+        self.keys, self.first, self.count = (
+            np.concatenate(p) for p in ((self.keys, keys), (self.first, first), (self.count, count)))
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and the index of each text's first id (n + 1)."""
@@ -144,17 +167,18 @@ class Encoder:
     def _slice(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts.data):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        starts = texts.with_starts(cuts(texts.data))
+        starts = texts.with_starts(self.cuts(texts.data))
         ends = np.append(starts[1:], len(texts.data))
-        keys, one, which = np.unique(texts.hashes(starts, ends), return_index=True, return_inverse=True)
+        keys = texts.hashes(starts, ends)
         if len(self.keys) > MEMORY:
             self.forget()
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        new = self.keys[at] != keys if len(self.keys) else np.ones(len(keys), bool)
-        if new.any():
-            self._learn(texts, keys[new], starts[one[new]], ends[one[new]])
-            at = np.searchsorted(self.keys, keys)
-        place = at[which]
+        place = self.table.take((keys >> U(64 - TABLE_BITS)).view(np.int64)).astype(np.int64)
+        missed = np.flatnonzero((self.keys.take(place) != keys) | (place == 0))
+        if len(missed):
+            new, one, which = np.unique(keys[missed], return_index=True, return_inverse=True)
+            one = missed[one]
+            place[missed] = len(self.keys) + which
+            self._learn(texts, new, starts[one], ends[one])
         count = self.count[place]
         total = np.cumsum(count)
         ids = self.ids[np.arange(total[-1]) + np.repeat(self.first[place] - total + count, count)]

@@ -37,169 +37,250 @@ from millrace.llm.bpe import encoder
 from millrace.llm.tables import parts_for, text_bytes
 from millrace.llm.texts import Texts
 
-MAGIC, VERSION = b"MRID", 1
+MAGIC, VERSION = b"MRID", 2
 BLOCK = 4096
-FRAME_BYTES = 8 << 20
-PART_BYTES = 32 << 20
+PART_BYTES = 24 << 20
+SLICE_BYTES = 4 << 20  # of text, encoded at once
+FRAME_IDS = 10_000_000
 SLOT_BITS = 12  # remembered contexts per order and block
 ORDER0_BITS, CHOICE_BITS = 18, 12
-LOW_BITS, DIGIT = 24, 32  # the coder keeps 24 to 56 bits of range
-BOTTOM, MASK = 1 << LOW_BITS, (1 << LOW_BITS) - 1
+LOW_BITS, DIGIT = 31, 32  # the coder keeps 31 to 63 bits of range
+BOTTOM, MASK, WIDEST = 1 << LOW_BITS, np.uint64((1 << LOW_BITS) - 1), (1 << LOW_BITS + DIGIT) - 1
+RANK_BITS = 30
+RANKS, SURE_SHIFT, TWO = np.uint32((1 << RANK_BITS) - 1), np.uint32(RANK_BITS), np.uint32(2)
+#: What a slot's number grows by, by its sureness (0 to 3): after a miss, after a hit.
+SURER = np.array([0, -1, -1, -1, 1, 1, 1, 0]).astype(np.uint32) << SURE_SHIFT
+HASHES, HASH_SHIFT = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)), np.uint32(32 - SLOT_BITS)
+TABLED = 1 << 22  # ids below are counted and ranked by a table
+TOGETHER = 32  # steps of the blocks that are predicted before they are coded
 RATE = 4  # speed of the weights: 1 / 2 ** RATE of the way
 
 
 class Predictor:
-    """State of the blocks that are coded side by side."""
+    """State of the blocks that are coded side by side; ids are their ranks among the frame's.
+
+    Both orders lie in the rows of one array each: order 1, order 2.
+    """
 
     def __init__(self, lanes: int):
-        self.slots = [np.zeros(lanes << SLOT_BITS, np.int64) for _ in range(2)]  # sureness << 32 | id
-        self.base = np.arange(lanes, dtype=np.int64) << SLOT_BITS
-        # Weights for each pair of surenesses: order 2, and order 1 if not order 2, in 2 ** 16.
-        self.weights = [np.full(lanes << 4, 1 << 12, np.int64) for _ in range(2)]
-        self.choice = np.arange(lanes, dtype=np.int64) << 4
-        self.last, self.older = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-
-    def look(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Predicted ids and shares in 2 ** CHOICE_BITS of orders 1 and 2, for the first ``n`` blocks."""
-        mix = (self.last[:n] * 0x9E3779B1) & 0xFFFFFFFF
-        both = (mix ^ (self.older[:n] * 0x85EBCA77)) * 0xC2B2AE3D & 0xFFFFFFFF
-        self.at = [self.base[:n] + (mix >> 32 - SLOT_BITS), self.base[:n] + (both >> 32 - SLOT_BITS)]
-        self.seen = [s[a] for s, a in zip(self.slots, self.at, strict=True)]
-        self.where = self.choice[:n] + (self.seen[1] >> 32 << 2) + (self.seen[0] >> 32)
-        self.now = [w[self.where] for w in self.weights]
-        room = (1 << CHOICE_BITS) - 2
-        two = 1 + (self.now[0] * (room - 96) >> 16)
-        one = 1 + (self.now[1] * (room - two) >> 16)
-        return self.seen[0] & 0xFFFFFFFF, self.seen[1] & 0xFFFFFFFF, one, two
-
-    def learn(self, ids: np.ndarray, is_two: np.ndarray, is_one: np.ndarray) -> None:
-        n = len(ids)
-        two, one = self.now
-        self.weights[0][self.where] = two + ((is_two * 65535 - two) >> RATE)
-        self.weights[1][self.where] = np.where(is_two, one, one + ((is_one * 65535 - one) >> RATE))
-        for slots, at, seen in zip(self.slots, self.at, self.seen, strict=True):
-            hit, sure = (seen & 0xFFFFFFFF) == ids, seen >> 32
-            slots[at] = np.where(hit, np.minimum(sure + 1, 3) << 32 | ids,
-                                 np.where(sure > 0, seen - (1 << 32), ids))
-        self.older[:n] = self.last[:n]
-        self.last[:n] = ids
-
-
-def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different ids, ascending, and their frequencies, all over 0, in 2 ** ORDER0_BITS."""
-    kinds, count = np.unique(ids, return_counts=True)
+        self.slots = np.zeros(2 * lanes << SLOT_BITS, np.uint32)  # sureness << RANK_BITS | rank
+        self.base = (np.arange(2 * lanes) << SLOT_BITS).reshape(2, lanes)
+        # Weights for each pair of surenesses, in 2 ** 16: order 2, and order 1 if not order 2. A pair is read as one.
+        self.weights = np.full(lanes << 5, 1 << 12, np.int32).view(np.int64)
+        self.choice = np.arange(lanes, dtype=np.uint32) << np.uint32(4)
+        self.last, self.older = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+
+    def narrow(self, n: int) -> None:
+        """Goes on with the first ``n`` blocks."""
+        self.base, self.choice = self.base[:, :n], self.choice[:n]
+        self.last, self.older = self.last[:n], self.older[:n]
+
+    def look(self) -> tuple[np.ndarray, np.ndarray]:
+        """Predicted ranks of both orders, and their weights (in rows: order 2, order 1)."""
+        hashed = np.empty(self.base.shape, np.uint32)
+        np.multiply(self.last, HASHES[0], out=hashed[0])
+        np.add(hashed[0], self.older, out=hashed[1])
+        hashed >>= HASH_SHIFT
+        self.at = hashed + self.base
+        self.seen = self.slots.take(self.at)
+        self.sure = self.seen >> SURE_SHIFT
+        self.where = self.sure[1] << TWO
+        self.where += self.sure[0]
+        self.where += self.choice
+        self.now = self.weights.take(self.where)
+        # In rows, which NumPy goes through much faster.
+        self.now = np.ascontiguousarray(self.now.view(np.int32).reshape(-1, 2).T)
+        return self.seen & RANKS, self.now
+
+    def learn(self, ranks: np.ndarray, hit: np.ndarray) -> None:
+        """``hit``: which order was right, in rows."""
+        step = hit[::-1] * np.int32(65535)
+        step -= self.now
+        step >>= RATE
+        step[1] *= ~hit[1]
+        step += self.now
+        self.weights[self.where] = np.ascontiguousarray(step.T).view(np.int64)[:, 0]
+        # A hit makes surer, a miss less sure, and what is not sure at all is replaced.
+        self.sure += hit * np.uint32(4)
+        new = SURER.take(self.sure)
+        new += self.seen
+        np.copyto(new, ranks, where=self.sure == 0)
+        self.slots[self.at] = new
+        np.multiply(self.last, HASHES[1], out=self.older)
+        self.last[:] = ranks
+
+
+def shares(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of orders 2 and 1 in 2 ** CHOICE_BITS."""
+    room = np.int32((1 << CHOICE_BITS) - 2)
+    two = weights[..., 0, :] * (room - np.int32(96))
+    two >>= 16
+    two += 1
+    one = room - two
+    one *= weights[..., 1, :]
+    one >>= 16
+    one += 1
+    return two, one
+
+
+def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different ids, ascending, their frequencies, all over 0, in 2 ** ORDER0_BITS, and the ids' ranks."""
+    if len(ids) and ids.max() < TABLED:
+        count = np.bincount(ids)
+        kinds = np.flatnonzero(count)
+        rank = np.zeros(len(count), np.uint32)
+        rank[kinds] = np.arange(len(kinds), dtype=np.uint32)
+        count, ranks = count[kinds], rank.take(ids)
+    else:
+        kinds, ranks, count = np.unique(ids, return_inverse=True, return_counts=True)
     share = 1 + count * ((1 << ORDER0_BITS) - len(kinds)) // max(len(ids), 1)
     if len(kinds):
         share[count.argmax()] += (1 << ORDER0_BITS) - share.sum()
-    return kinds, share
+    return kinds, share, ranks.astype(np.uint32, copy=False)
+
+
+def _alive(sizes: np.ndarray) -> Iterator[tuple[range, int]]:
+    """Steps and number of blocks that have an id in each of them; blocks are full but for the last."""
+    yield range(sizes[-1]), len(sizes)
+    if len(sizes) > 1 and sizes[-1] < BLOCK:
+        yield range(sizes[-1], BLOCK), len(sizes) - 1
 
 
-def _alive(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Step and number of blocks that still have an id; blocks are full but for the last."""
-    for t in range(int(sizes[0]) if len(sizes) else 0):
-        yield t, len(sizes) if t < sizes[-1] else len(sizes) - 1
+def _lanes(n_ids: int) -> np.ndarray:
+    """Ids of each block."""
+    sizes = np.full(-(-n_ids // BLOCK), BLOCK)
+    sizes[-1:] = n_ids - BLOCK * (len(sizes) - 1)
+    return sizes
 
 
-def code_blocks(ids: np.ndarray, kinds: np.ndarray, share: np.ndarray) -> list[bytes]:
-    lanes = -(-len(ids) // BLOCK)
+def code_blocks(ranks: np.ndarray, share: np.ndarray) -> list[bytes]:
+    """Blocks of ids, given by their ranks among those that ``share`` has frequencies of."""
+    sizes = _lanes(len(ranks))
+    lanes = len(sizes)
     if not lanes:
         return []
-    sizes = np.full(lanes, BLOCK)
-    sizes[-1] = len(ids) - BLOCK * (lanes - 1)
-    rank = np.searchsorted(kinds, ids)
-    start = np.concatenate([[0], np.cumsum(share)])
-    low, width = np.zeros(lanes, np.int64), np.full(lanes, 1 << LOW_BITS + DIGIT, np.int64)
-    digits, used = np.zeros((lanes, 2 * BLOCK + 2), np.int64), np.zeros(lanes, np.int64)
-    model, begin = Predictor(lanes), np.arange(lanes) * BLOCK
-
-    def put(rows: np.ndarray | slice, first: np.ndarray, size: np.ndarray, bits: int) -> None:
-        unit = width[rows] >> bits
-        low[rows] += unit * first
-        width[rows] = unit * size
-        short = np.flatnonzero(width < BOTTOM)
-        if len(short):
-            digits[short, used[short]] = low[short] >> LOW_BITS
-            used[short] += 1
-            low[short] = (low[short] & MASK) << DIGIT
-            width[short] <<= DIGIT
-
-    for t, n in _alive(sizes):
-        now = ids[begin[:n] + t].astype(np.int64)
-        guess1, guess2, one, two = model.look(n)
-        is_two = guess2 == now
-        is_one = ~is_two & (guess1 == now)
-        rest = ~(is_two | is_one)
-        put(slice(0, n), np.where(is_two, 0, np.where(is_one, two, two + one)),
-            np.where(is_two, two, np.where(is_one, one, (1 << CHOICE_BITS) - two - one)), CHOICE_BITS)
-        rows = np.flatnonzero(rest)
-        if len(rows):
-            k = rank[begin[rows] + t]
-            put(rows, start[k], share[k], ORDER0_BITS)
-        model.learn(now, is_two, is_one)
-    every = np.arange(lanes)
-    digits[every, used] = low >> LOW_BITS
-    digits[every, used + 1] = (low & MASK) << DIGIT - LOW_BITS
-    used += 2
+    none = len(share)
+    ranks = np.append(ranks, np.zeros(lanes * BLOCK - len(ranks), np.uint32))
+    ranks = np.ascontiguousarray(ranks.reshape(lanes, BLOCK).T)  # one row a step
+    # Behind the ids' own: what orders 1 and 2 code has no second part.
+    start = np.concatenate([[0], np.cumsum(share)]).astype(np.uint64)
+    start[-1] = 0
+    share = np.append(share, 1).astype(np.uint64)
+    low, width = np.zeros(lanes, np.uint64), np.full(lanes, WIDEST, np.uint64)
+    # An id gives one digit at most.
+    digits, place = np.zeros(lanes * (BLOCK + 2), np.uint64), np.arange(lanes) * (BLOCK + 2)
+    begin, model = place.copy(), Predictor(lanes)
+    for steps, n in _alive(sizes):
+        model.narrow(n)
+        bottom, room = low[:n], width[:n]
+        weights, hits = np.empty((TOGETHER, 2, n), np.int32), np.empty((TOGETHER, 2, n), bool)
+        for t in range(steps.start, steps.stop, TOGETHER):
+            # The predictions do not hang on the coder: some steps of them, then the same steps of the coder.
+            some = min(TOGETHER, steps.stop - t)
+            for i in range(some):
+                now = ranks[t + i, :n]
+                guess, weights[i] = model.look()
+                model.learn(now, np.equal(guess, now, out=hits[i]))
+            two, one = shares(weights[:some])
+            first, second = hits[:some, 1], hits[:some, 0]
+            rest = ~(first | second)
+            lead = np.where(second, two, two + one)
+            lead[first] = 0
+            size = np.where(first, two, one)
+            np.copyto(size, (1 << CHOICE_BITS) - two - one, where=rest)
+            lead, size = lead.astype(np.uint64), size.astype(np.uint64)
+            k = np.where(rest, ranks[t: t + some, :n], np.uint32(none))
+            from_, part, shift = start.take(k), share.take(k), rest * np.uint64(ORDER0_BITS)
+            for i in range(some):
+                unit = room >> np.uint64(CHOICE_BITS)
+                bottom += unit * lead[i]
+                unit *= size[i]
+                unit >>= shift[i]
+                bottom += unit * from_[i]
+                np.multiply(unit, part[i], out=room)
+                short = np.flatnonzero(room < BOTTOM)
+                if len(short):
+                    at, moved = place.take(short), bottom.take(short)
+                    digits[at] = moved >> np.uint64(LOW_BITS)
+                    place[short] = at + 1
+                    moved &= MASK
+                    moved <<= np.uint64(DIGIT)
+                    bottom[short] = moved
+                    room[short] <<= np.uint64(DIGIT)
+    digits[place] = low >> np.uint64(LOW_BITS)
+    digits[place + 1] = (low & MASK) << np.uint64(DIGIT - LOW_BITS)
     # A digit over 32 bits carries into the one before it.
-    for k in range(int(used.max()) - 1, 0, -1):
-        digits[:, k - 1] += digits[:, k] >> DIGIT
-        digits[:, k] &= (1 << DIGIT) - 1
+    over = np.flatnonzero(digits >> np.uint64(DIGIT))
+    while len(over):
+        digits[over] &= np.uint64((1 << DIGIT) - 1)
+        over -= 1
+        digits[over] += np.uint64(1)
+        over = over[digits[over] >> np.uint64(DIGIT) > 0]
     words = digits.astype(">u4")
-    return [words[i, : used[i]].tobytes() for i in range(lanes)]
+    return [words[a:b].tobytes() for a, b in zip(begin.tolist(), (place + 2).tolist(), strict=True)]
 
 
 def read_blocks(blocks: list[bytes], n_ids: int, kinds: np.ndarray, share: np.ndarray) -> np.ndarray:
-    lanes = len(blocks)
-    out = np.zeros(lanes * BLOCK, np.int64)
+    sizes = _lanes(n_ids)
+    lanes = len(sizes)
     if not lanes:
-        return out.astype(np.uint32)
-    sizes = np.full(lanes, BLOCK)
-    sizes[-1] = n_ids - BLOCK * (lanes - 1)
-    place = np.cumsum([0, *(len(b) + 8 for b in blocks)])
-    raw = np.frombuffer(b"".join(b + bytes(8) for b in blocks), np.uint8).astype(np.int64)
-    word = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
-    at = place[:-1].copy()
-    # The first 56 bits of the code, less the (zero) low end.
-    ahead = word[at] << LOW_BITS | word[at + 4] >> DIGIT - LOW_BITS
-    at += 7
-    width = np.full(lanes, 1 << LOW_BITS + DIGIT, np.int64)
+        return np.zeros(0, np.uint32)
+    out = np.zeros((BLOCK, lanes), np.uint32)
+    at = np.cumsum([0, *(len(b) // 4 + 2 for b in blocks)])[:-1]
+    word = np.frombuffer(b"".join(b[: len(b) // 4 * 4] + bytes(8) for b in blocks), ">u4").astype(np.int64)
+    # The first 63 bits of the code, less the (zero) low end; what follows is read from a block's 64th bit on.
+    back = DIGIT - LOW_BITS
+    ahead = word[at] << LOW_BITS | word[at + 1] >> back
+    word[:-1] = (word[:-1] << DIGIT - back & (1 << DIGIT) - 1) | word[1:] >> back
+    at += 1
+    width = np.full(lanes, WIDEST, np.int64)
     start = np.concatenate([[0], np.cumsum(share)])
-    lookup = np.repeat(np.arange(len(kinds)), share)
-    model, begin = Predictor(lanes), np.arange(lanes) * BLOCK
-
-    def take(rows: np.ndarray | slice, unit: np.ndarray, first: np.ndarray, size: np.ndarray) -> None:
-        ahead[rows] -= unit * first
-        width[rows] = unit * size
-        short = np.flatnonzero(width < BOTTOM)
-        if len(short):
-            ahead[short] = ahead[short] << DIGIT | word[at[short]]
-            at[short] += 4
-            width[short] <<= DIGIT
-
-    for t, n in _alive(sizes):
-        guess1, guess2, one, two = model.look(n)
-        unit = width[:n] >> CHOICE_BITS
-        value = np.minimum(ahead[:n] // unit, (1 << CHOICE_BITS) - 1)
-        is_two = value < two
-        is_one = ~is_two & (value < two + one)
-        take(slice(0, n), unit, np.where(is_two, 0, np.where(is_one, two, two + one)),
-             np.where(is_two, two, np.where(is_one, one, (1 << CHOICE_BITS) - two - one)))
-        now = np.where(is_two, guess2, guess1)
-        rows = np.flatnonzero(~(is_two | is_one))
-        if len(rows):
-            unit = width[rows] >> ORDER0_BITS
-            k = lookup[np.minimum(ahead[rows] // unit, (1 << ORDER0_BITS) - 1)]
-            take(rows, unit, start[k], share[k])
-            now[rows] = kinds[k]
-        model.learn(now, is_two, is_one)
-        out[begin[:n] + t] = now
-    return out[:n_ids].astype(np.uint32)
+    lookup = np.repeat(np.arange(len(kinds), dtype=np.uint32), share)
+    model = Predictor(lanes)
+    for steps, n in _alive(sizes):
+        model.narrow(n)
+        left, room = ahead[:n], width[:n]
+        for t in steps:
+            guess, weights = model.look()
+            two, one = shares(weights)
+            unit = room >> CHOICE_BITS
+            end2 = unit * two
+            end1 = unit * one
+            np.copyto(room, end1)
+            end1 += end2
+            is_two = left < end2
+            now = np.where(is_two, guess[1], guess[0])
+            np.copyto(room, end2, where=is_two)
+            end2 *= ~is_two
+            rows = np.flatnonzero(left >= end1)
+            if len(rows):
+                before = end1.take(rows)
+                part = (1 << CHOICE_BITS) - (two + one).take(rows)
+                part = part * unit.take(rows) >> ORDER0_BITS
+                value = (left.take(rows) - before).view(np.uint64) // part.view(np.uint64)
+                k = lookup.take(value.view(np.int64), mode="clip")
+                now[rows] = k
+                before += part * start.take(k)
+                end2[rows] = before
+                part *= share.take(k)
+                room[rows] = part
+            left -= end2
+            short = np.flatnonzero(room < BOTTOM)
+            if len(short):
+                place = at.take(short)
+                # A damaged block may ask for more than there is.
+                left[short] = left.take(short) << DIGIT | word.take(place, mode="clip")
+                at[short] = place + 1
+                room[short] <<= DIGIT
+            out[t, :n] = now
+            model.learn(now, guess == now)
+    return kinds.astype(np.uint32).take(out.T.ravel()[:n_ids])
 
 
 def pack(ids: np.ndarray, sizes: np.ndarray) -> bytes:
     """A frame of documents with ``sizes`` ids each."""
-    kinds, share = frequencies(ids)
-    blocks = code_blocks(ids, kinds, share)
+    kinds, share, ranks = frequencies(ids)
+    blocks = code_blocks(ranks, share)
     directory = zlib.compress(b"".join(a.astype("<u4").tobytes() for a in (sizes, kinds, share)), 6)
     table = np.array([[len(b), zlib.crc32(ids[i * BLOCK: (i + 1) * BLOCK].astype("<u4").tobytes())]
                       for i, b in enumerate(blocks)], "<u4")
@@ -232,6 +313,35 @@ def with_end(ids: np.ndarray, first: np.ndarray, end_id: int) -> tuple[np.ndarra
     return np.insert(ids, first[1:], end_id), np.diff(first) + 1
 
 
+def even(runs: Iterator[tuple[pa.Array, np.ndarray, np.ndarray]],
+         limit: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Runs of documents (keys, ids, ids per document) put together to about as many ids each, mostly up to ``limit``."""
+    held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+
+    def cut(last: bool) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        keys = pa.concat_arrays([h[0] for h in held])
+        ids, sizes = (np.concatenate([h[i] for h in held]) for i in (1, 2))
+        held.clear()
+        ends = np.cumsum(sizes)
+        n = max(1, -(-len(ids) // limit))
+        inner = np.searchsorted(ends, len(ids) * np.arange(1, n) // n, "right")
+        bounds = np.unique(np.concatenate([[0], inner, [len(sizes)]]))
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            first = ends[a] - sizes[a]
+            run = keys.slice(a, b - a), ids[first: ends[b - 1]], sizes[a:b]
+            if last or b < len(sizes):
+                yield run
+            else:
+                held.append(run)
+
+    for run in runs:
+        held.append(run)
+        if sum(len(h[1]) for h in held) >= 2 * limit:
+            yield from cut(False)
+    if held:
+        yield from cut(True)
+
+
 def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", end_id: int = 2,
           tokenizer: str | None = None) -> None:
     """Writes the ids of all texts, each with ``end_id`` behind it, in ascending order of the keys."""
@@ -242,16 +352,18 @@ def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", e
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, frame = TaskContext.get().partitionId(), 0
+        for keys, ids, sizes in even(encoded(batches), FRAME_IDS):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([frame], pa.int32()),
+                 pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
+                 pa.array([len(ids)], pa.int64()), pa.array([pack(ids, sizes)], pa.binary())],
+                names=["part", "frame", "keys", "n_ids", "data"])
+            frame += 1
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
         for batch in batches:
-            for a, b, texts in Texts.of(batch.column(1)).slices(FRAME_BYTES):
-                ids, sizes = with_end(*encoder(tokenizer).encode(texts), end_id)
-                keys = batch.column(0).slice(a, b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([frame], pa.int32()),
-                     pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
-                     pa.array([len(ids)], pa.int64()), pa.array([pack(ids, sizes)], pa.binary())],
-                    names=["part", "frame", "keys", "n_ids", "data"])
-                frame += 1
+            for a, b, texts in Texts.of(batch.column(1)).slices(SLICE_BYTES):
+                yield batch.column(0).slice(a, b - a), *with_end(*encoder(tokenizer).encode(texts), end_id)
 
     ordered.mapInArrow(frames, f"part int, frame int, keys array<{kind}>, n_ids bigint, data binary").write.mode(
         "errorifexists").option("compression", "uncompressed").parquet(path)

@@ -82,3 +82,19 @@ def test_round_trip_of_edge_rows(spark):
         return str(r[0]), r[1]
     assert sorted(((r.doc_id, r.text) for r in back), key=order) == sorted(((k, t or "") for k, t, _ in rows), key=order)
     assert bpe.encoded(docs.limit(0), ["doc_id"]).count() == 0
+
+
+def test_pieces_end_between_words_and_signs():
+    """Apostrophes, runs of signs, added tokens and odd white space around the places that pieces are cut at."""
+    rng = np.random.default_rng(7)
+    parts = ["it", "'s", "'", "''s", "don't", ".", "..", "...a", "-", "co-op", "1", "23", "_x_", "!'ll", "<|endoftext|>",
+             "<|", "|>", "endoftext", " ", "  ", "\n", "\r\n", "\t", " ", "　", "é", "é", "日本", "(", ")", "'é", "'S"]
+    made = ["".join(rng.choice(parts, rng.integers(1, 30))) for _ in range(3000)] + ["", "'", ".", "\n.", "s"]
+    plain = Tokenizer.from_file(bpe.default_path())
+    enc = bpe.Encoder(bpe.default_path())
+    for texts in (made, made[::-1]):
+        ids, at = enc.encode(Texts.from_list([t.encode() for t in texts]))
+        for i, t in enumerate(texts):
+            assert ids[at[i]: at[i + 1]].tolist() == plain.encode(t, add_special_tokens=False).ids, t
+    data = np.frombuffer(b"co-op, it's. <|endoftext|>", np.uint8)
+    assert enc.cuts(data).tolist() == [2, 3, 5, 6, 9, 11, 12]

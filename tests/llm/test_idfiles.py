@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -68,3 +69,43 @@ def test_edge_rows(spark):
     assert [len(r.ids) for r in got if r.key in (2, 4)] == [1, 1] and all(r.ids[-1] == 2 for r in got)
     idfiles.write(docs.limit(0), path + "-none")
     assert idfiles.read(spark, path + "-none").count() == 0
+
+
+def test_frames_are_even_and_documents_stay_whole():
+    """Batches of any size give frames of about as many ids, none of a few; one document over the limit is alone."""
+    runs = [(pa.array([k]), np.full(n, k, np.uint32), np.array([n])) for k, n in
+            enumerate([700, 900, 50, 3000, 1, 1, 400, 1000, 1000, 30])]
+    got = list(idfiles.even(iter(runs), 1000))
+    assert sum((f[0].to_pylist() for f in got), []) == list(range(len(runs)))
+    assert np.concatenate([f[1] for f in got]).tolist() == np.concatenate([r[1] for r in runs]).tolist()
+    for keys, ids, sizes in got:
+        assert len(keys) == len(sizes) and sizes.sum() == len(ids)
+    assert len(got) <= 8
+    small = [(pa.array([k]), np.zeros(10, np.uint32), np.array([10])) for k in range(150)]
+    assert [len(f[1]) for f in idfiles.even(iter(small), 1000)] == [750, 750]
+    assert list(idfiles.even(iter([]), 1000)) == []
+
+
+def test_blocks_share_their_steps():
+    """NumPy is called a fixed number of times for each step of a frame, however many blocks it has."""
+    calls = []
+    take = idfiles.Predictor.look
+    ids = np.random.default_rng(3).integers(0, 70_000, 40 * idfiles.BLOCK + 9).astype(np.uint32)
+
+    class Counted(idfiles.Predictor):
+        def look(self):
+            calls.append(1)
+            return take(self)
+
+    plain, idfiles.Predictor = idfiles.Predictor, Counted
+    try:
+        back, _ = idfiles.unpack(idfiles.pack(ids, np.array([len(ids)])))
+    finally:
+        idfiles.Predictor = plain
+    assert back.tolist() == ids.tolist() and len(calls) == 2 * idfiles.BLOCK
+
+
+def test_large_ids_come_back():
+    ids = np.random.default_rng(4).choice(np.array([0, 5, 1 << 23, (1 << 32) - 1], np.uint32), 9000)
+    back, _ = idfiles.unpack(idfiles.pack(ids, np.array([9000])))
+    assert back.dtype == np.uint32 and back.tolist() == ids.tolist()
