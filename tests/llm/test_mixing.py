@@ -144,3 +144,35 @@ def test_contexts_of_short_texts_stay_inside():
         alone = [mixing.contexts(Texts.from_list([t]), 12) for t in texts]
         for k in range(mixing.ORDERS):
             assert got[k].tolist() == [r for a in alone for r in a[k].tolist()]
+
+
+def test_tables_grow_with_the_text(spark):
+    """Past 16 MB of text a table has a row for each 1 KB as before."""
+    docs = spark.createDataFrame([(1, "some words of a text")], "doc_id bigint, text string")
+    mixer = mixing.train(docs, size=200 << 20)
+    assert mixer.bits == 18
+    assert [len(t) for t in mixer.tables] == [256 * 256, *[256 << 18] * 3]
+
+
+def test_fetched_tables_give_the_scores_of_whole_ones(spark, monkeypatch):
+    """Small blocks and shards, tables of 2^12 rows and of 2^25, where a cell does not fit 32 bits."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(60)
+    odd = [(1001, None), (1002, ""), (None, "a"), (1003, "x" * 5000), (1004, "ñandú 漢字 " * 300), (1004, "ñandú 漢字 " * 300)]
+    docs = docs.unionByName(spark.createDataFrame(odd, "doc_id bigint, text string"))
+    learn = F.coalesce(F.col("doc_id") % 3, F.lit(0)) != 0
+
+    def scores():
+        return sorted(((r.doc_id is None, r.doc_id, r.n_tokens, r.n_known, r.base_score, r.score, str(r.bits_per_byte))
+                       for r in mixing.scores(docs, learn, block_bytes=20000).collect()), key=str)
+
+    whole = scores()
+    monkeypatch.setattr(mixing, "WHOLE_BITS", 0)
+    monkeypatch.setattr(mixing, "PART_BITS", 7)
+    assert scores() == whole
+    assert mixing.scores(docs.limit(0), learn).count() == 0
+    monkeypatch.setattr(mixing, "bits_for", lambda size: 25)
+    wide = scores()
+    assert [r[:5] for r in wide] == [r[:5] for r in whole] and wide != whole
+    monkeypatch.setattr(mixing, "bits_for", lambda size: 24)
+    narrow = scores()  # nearly no context shares a row in either
+    assert np.allclose([r[5] for r in wide], [r[5] for r in narrow], rtol=1e-2, atol=1e-2)
