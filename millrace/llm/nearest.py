@@ -1,7 +1,8 @@
 """Exact nearest neighbours of a query set by a block matrix join on int8 tiles.
 
-Vectors are packed into blocks: int8 components with a scale, the length of what rounding lost, and the originals. The
-queries, in blocks, meet the candidates, in blocks, once each. In a tile one integer product gives all distances of the
+Vectors are packed into blocks: int8 components with a scale, the length of what rounding lost, and the originals. Each
+block of candidates meets ``TOGETHER`` blocks of queries in one task, so a task holds one of them and these, and
+candidates are sent once for so many blocks of queries; blocks are shuffled and never broadcast. In a tile one integer product gives all distances of the
 rounded vectors; with the lost lengths it bounds each true distance from below and above. Pairs whose lower bound is
 over the tile's ``k``-th upper bound are out; the others are computed in double precision from the originals. The
 sorted lists of a query's tiles are merged by a heap. The result is exact, so its recall is 1.
@@ -21,11 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from millrace.llm.tables import parts_for
 from millrace.llm.texts import binary
 
 QUERY_BLOCK, BLOCK = 1024, 8192
+TOGETHER = 16
 _EXACT = 1024  # components whose int8 products a float32 sums up without rounding
 
 
@@ -35,8 +38,8 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & whole & F.exists(vector, lambda x: x != 0)
 
 
-def _packed(rows: DataFrame, block: str) -> DataFrame:
-    """One row per block and vector length: ids, int8 components, scales, lost lengths and originals."""
+def _packed(rows: DataFrame, block: str, kind: type) -> DataFrame:
+    """One row per block and vector length: ids, int8 components, scales, lost lengths and originals as ``kind``."""
 
     def pack(group: pa.Table) -> pa.Table:
         ids = group.column("id").to_numpy()
@@ -50,19 +53,20 @@ def _packed(rows: DataFrame, block: str) -> DataFrame:
         lost = np.sqrt(((x - q * scale[:, None]) ** 2).sum(1))
         return pa.Table.from_arrays(
             [group.column(block).slice(0, 1), group.column("size").slice(0, 1),
-             *(binary([a.tobytes()]) for a in (ids, q, scale, lost, x))],
+             *(binary([a.tobytes()]) for a in (ids, q, scale, lost, x.astype(kind)))],
             names=[block, "size", "ids", "q", "scale", "lost", "x"])
 
     return rows.groupBy(block, "size").applyInArrow(
         pack, f"{block} int, size int, ids binary, q binary, scale binary, lost binary, x binary")
 
 
-def _parts(row: dict, prefix: str, size: int) -> tuple[np.ndarray, ...]:
+def _parts(rows: pa.Table, i: int, kind: type) -> tuple[np.ndarray, ...]:
     def of(name: str, kind: type) -> np.ndarray:
-        return np.frombuffer(row[prefix + name], kind)
+        return np.frombuffer(rows.column(name)[i].as_buffer(), kind)
 
+    size = rows.column("size")[i].as_py()
     return (of("ids", np.int64), of("q", np.int8).reshape(-1, size), of("scale", np.float64), of("lost", np.float64),
-            of("x", np.float64).reshape(-1, size))
+            of("x", kind).reshape(-1, size).astype(np.float64))
 
 
 def tile(queries: tuple, cands: tuple, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -95,7 +99,7 @@ def tile(queries: tuple, cands: tuple, k: int) -> Iterator[tuple[int, np.ndarray
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding",
-            query_block: int = QUERY_BLOCK, block: int = BLOCK) -> DataFrame:
+            query_block: int = QUERY_BLOCK, block: int = BLOCK, together: int = TOGETHER) -> DataFrame:
     """query_id, rank (from 1), the key and score (Euclidean distance) of each query's ``k`` nearest rows."""
     rows = vectors.filter(usable(F.col(vector)) & F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("id"), F.col(vector).alias("vector"), F.size(vector).alias("size"),
@@ -109,23 +113,26 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_i
     def every(n: int, name: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
 
-    queries = _packed(rows.filter("asks").select("id", "vector", "size", dealt(n_q, "qb")), "qb")
-    cands = _packed(rows.select("id", "vector", "size", dealt(n_c, "cb")), "cb")
-    asked = queries.select(*[F.col(c).alias(f"a_{c}") if c not in ("qb", "size") else c for c in queries.columns],
-                           every(n_c, "cb"))
-    met = asked.join(cands.select("*", every(n_q, "qb")), ["qb", "cb", "size"])
-
-    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                found = list(tile(_parts(row, "a_", row["size"]), _parts(row, "", row["size"]), k))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f[0] for f in found], pa.int64()),
-                     pa.array([f[1] for f in found], pa.list_(pa.int64())),
-                     pa.array([f[2] for f in found], pa.list_(pa.float64()))], names=["query_id", "ids", "scores"])
-
-    lists = met.mapInArrow(tiles, "query_id bigint, ids array<bigint>, scores array<double>")
+    # Originals as they come; a float is the same number as a double.
+    kind = np.float32 if isinstance(rows.schema["vector"].dataType.elementType, FloatType) else np.float64
+    queries = _packed(rows.filter("asks").select("id", "vector", "size", dealt(n_q, "qb")), "qb", kind)
+    cands = _packed(rows.select("id", "vector", "size", dealt(n_c, "cb")), "cb", kind)
+    asked = queries.select("*", F.floor(F.col("qb") / together).cast("int").alias("side"), every(n_c, "cb"))
+    offered = cands.select("*", every(parts_for(n_q, together), "side"))
+
+    def tiles(asked: pa.Table, offered: pa.Table) -> pa.Table:
+        found = []
+        if offered.num_rows:
+            near = _parts(offered, 0, kind)
+            for i in range(asked.num_rows):
+                found += tile(_parts(asked, i, kind), near, k)
+        return pa.Table.from_arrays(
+            [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.list_(pa.int64())),
+             pa.array([f[2] for f in found], pa.list_(pa.float64()))], names=["query_id", "ids", "scores"])
+
+    met = ["side", "cb", "size"]
+    lists = asked.groupBy(*met).cogroup(offered.groupBy(*met)).applyInArrow(
+        tiles, "query_id bigint, ids array<bigint>, scores array<double>")
 
     def merge(group: pa.Table) -> pa.Table:
         runs = [zip(s, i, strict=True) for s, i in zip(group.column("scores").to_pylist(),

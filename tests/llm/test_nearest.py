@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from millrace.llm import nearest
 from millrace.llm.queries import ORACLES, op3_nearest
@@ -42,3 +43,16 @@ def test_few_candidates_and_empty_table(spark):
 
 def test_query_equals_sql(spark):
     assert difference(spark_rows(op3_nearest(spark, SF)), duck(SF, ORACLES["op3_nearest"])) is None
+
+
+def test_blocks_meet_without_a_join(spark):
+    """A join of blocks may be broadcast, as what it counts as small are rows before they are dealt out."""
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((300, 5)).astype(np.float32))]
+    docs = spark.createDataFrame([*rows, (7, rows[9][1]), (301, [1.0, 2.0])], "vec_id bigint, embedding array<float>")
+    want = sorted((q, r, i) for q, r, i, _ in brute(docs.collect(), lambda i: i % 3 == 0, 4))
+    for together in (1, 3, 16):
+        near = nearest.nearest(docs, docs.vec_id % 3 == 0, k=4, query_block=9, block=40, together=together)
+        assert sorted((r.query_id, r.rank, r.vec_id) for r in near.select(
+            "query_id", F.col("rank").alias("rank"), "vec_id").collect()) == want
+        assert "Join" not in near._jdf.queryExecution().executedPlan().toString()
