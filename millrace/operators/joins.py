@@ -300,7 +300,9 @@ def pairs_within(
         turned = F.col("_lk") > F.col("_rk")
         pair = [F.col("_g").alias("group"), *pair, F.when(turned, F.col("_rwith")).otherwise(F.col("_lwith")).alias("left"),
                 F.when(turned, F.col("_lwith")).otherwise(F.col("_rwith")).alias("right")]
-    thin = left.filter(F.col("_block").isNull()).join(looking.drop("_of"), ["_g", "_cell"]).filter(wanted).select(*pair)
+    # Stored people look small to the optimizer, which knows their compressed size; their joins are never broadcast.
+    thin = left.filter(F.col("_block").isNull()).join(
+        looking.drop("_of").hint("merge"), ["_g", "_cell"]).filter(wanted).select(*pair)
 
     if crowded.isEmpty():
         return thin if carry else thin.distinct()
@@ -310,6 +312,6 @@ def pairs_within(
         *looking.columns, "_block").withColumn("_from", F.xxhash64("_home", "_of"))
     reach = materialize(reach.drop("_of"), "reach")
     meets = reach.select("_g", "_cell", "_block", "_from").distinct()
-    thick = left.join(meets, ["_g", "_cell", "_block"]).join(reach, ["_g", "_cell", "_block", "_from"]).filter(
-        wanted).select(*pair)
+    thick = left.join(meets.hint("merge"), ["_g", "_cell", "_block"]).join(
+        reach.hint("merge"), ["_g", "_cell", "_block", "_from"]).filter(wanted).select(*pair)
     return thin.unionByName(thick) if carry else thin.unionByName(thick).distinct()

@@ -170,7 +170,7 @@ def friend_candidates(
     channels = subscribed.groupBy("user_id").agg(F.count("*").alias("_n"), F.collect_set("channel").alias("_all"))
     users = (
         last.select("user_id", "lat", "lon")
-        .join(home, "user_id")
+        .join(home.hint("merge"), "user_id")
         .join(channels, "user_id")
         .join(_correspondents(wrote, last, radius_km), "user_id", "left")
         .withColumn("short", (F.col("_n") <= listed) & (F.coalesce(F.size("_others"), F.lit(0)) <= listed))
@@ -207,7 +207,9 @@ def friend_candidates(
 def _correspondents(wrote: DataFrame, last: DataFrame, radius_km: float) -> DataFrame:
     """user_id, _others: of each two users near each other who wrote, the one with fewer such others names the other."""
     def spot(side: str) -> DataFrame:
-        return last.select(F.col("user_id").alias(f"{side}_key"), *[F.col(c).alias(f"{side}_{c}") for c in ("lat", "lon")])
+        # All users, who look small to the optimizer when stored, are not broadcast.
+        return last.select(F.col("user_id").alias(f"{side}_key"), *[
+            F.col(c).alias(f"{side}_{c}") for c in ("lat", "lon")]).hint("merge")
 
     # A hair more than the radius: the distance may be rounded otherwise where the pair is found the other way round.
     near = haversine_km("left_lat", "left_lon", "right_lat", "right_lon") <= radius_km * (1 + 1e-6) + 1e-6

@@ -192,3 +192,16 @@ def test_spread_join_equals_plain_join(spark):
     got = spread_join(big, small, ["k"], 4)
     want = big.join(small, "k")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_people_are_not_broadcast(spark):
+    """Stored people look small by their compressed size, so none of the joins that make pairs may be a broadcast."""
+    rows = [(g, k, 50 + k % 7 * 1e-4, 8.0, f"p{k}") for g in (1, 2) for k in range(40)] + [(3, 1, 10.0, 1.0, "a"), (3, 2, 10.0, 1.0, "b")]
+    people = spark.createDataFrame(rows, "g int, k int, lat double, lon double, name string")
+    for block in (10, 1000):
+        near = pairs_within(people, "g", "k", "lat", "lon", 1.0, block, ["name"])
+        plan = near._jdf.queryExecution().executedPlan().toString().splitlines()
+        made = [line for line in plan if "Join" in line and "Inner" in line]
+        assert made and not any("Broadcast" in line for line in made)
+        got = {(r.group, r.left_key, r.right_key, r.left.name, r.right.name) for r in near.collect()}
+        assert got == {(g, a, b, f"p{a}", f"p{b}") for g in (1, 2) for a in range(40) for b in range(a + 1, 40)} | {(3, 1, 2, "a", "b")}
