@@ -1,9 +1,11 @@
 """Runs whose size is told are written once; keys that fall into all buckets are not looked at."""
 
+import os
 import tempfile
 
 from pyspark.sql import functions as F
 
+from millrace.session import materialize
 from millrace.sources import ledger as L
 from millrace.sources import paths
 from millrace.streaming import orders
@@ -30,3 +32,16 @@ def test_estimates_do_not_lie_far_below(spark):
     told = orders.about(rows, {"all": ["a", "b"], "few": ["b"], "none": ["c"]})
     assert 20000 <= told["all"] < 26000 and 7 <= told["few"] < 20 and told["none"] <= 1
     assert orders.about(rows.limit(0), {"all": ["a"]}) == {"all": 0}
+
+
+def test_a_cut_leaves_no_shuffle_files(spark):
+    """Rows written to cut lineage need their shuffles no more: a driver that collects no garbage keeps none of them."""
+    def kept():
+        local = [os.path.join(r, f) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(
+            ).localDirs() for r, _, files in os.walk(d.toString()) for f in files if f.startswith("shuffle_")]
+        return set(local)
+
+    before = kept()
+    cut = materialize(spark.range(5000).withColumn("k", F.col("id") % 1000).groupBy("k").count())
+    assert cut.count() == 1000
+    assert not {f for f in kept() - before if os.path.getsize(f) > 2000}
