@@ -5,6 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from millrace.catalog import QUERIES, vaults
 from millrace.session import materialize
 from millrace.sources import ledger as L
 from millrace.sources import paths
@@ -45,3 +46,11 @@ def test_a_cut_leaves_no_shuffle_files(spark):
     cut = materialize(spark.range(5000).withColumn("k", F.col("id") % 1000).groupBy("k").count())
     assert cut.count() == 1000
     assert not {f for f in kept() - before if os.path.getsize(f) > 2000}
+
+
+def test_subscribers_are_landed_once(spark, monkeypatch):
+    """Every micro-batch joins them, so they are not to be worked out anew for each."""
+    landed = []
+    monkeypatch.setattr(vaults, "materialize", lambda df, name="cut": (landed.append(name), materialize(df, name))[1])
+    assert QUERIES["stream_campaigns"](spark, "/root/testdata/sf0.001").columns[0] == "restaurant_id"
+    assert landed == ["subscribers"]
